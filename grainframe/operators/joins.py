@@ -50,9 +50,11 @@ def enrich(
     pairs = _pairs(on)
     keys = {f: f"__on{i}" for i, f in enumerate(pairs)}
     wanted = [c for c in dim.columns if c not in pairs.values()] if columns is None else columns
+    # Without a prefix the columns keep their identity: a renaming alias would
+    # hide that two uses of one join are the same exchange.
     side = dim.select(
         *[F.col(d).alias(keys[f]) for f, d in pairs.items()],
-        *[F.col(c).alias(prefix + c) for c in wanted],
+        *[F.col(c).alias(prefix + c) if prefix else F.col(c) for c in wanted],
     )
     condition = _all([F.col(f) == F.col(k) for f, k in keys.items()])
     how = "left" if keep in ("fact", "all") else "inner"

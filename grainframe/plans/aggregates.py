@@ -23,7 +23,7 @@ from grainframe.operators import (
     share_within,
     symmetric_measures,
 )
-from grainframe.plans.projection import discounted
+from grainframe.plans.projection import discounted, mean
 from grainframe.plans.registry import query
 from grainframe.plans.tables import Tables
 
@@ -84,14 +84,14 @@ def cancel_rate(t: Tables) -> DataFrame:
 
 @query(
     "agg_by",
-    """SELECT p_partkey, p_brand, p_retailprice, round(avg(p_retailprice) OVER (PARTITION BY p_brand), 4)
-                AS avg_brand_price, max(p_size) OVER (PARTITION BY p_brand) AS max_brand_size
+    """SELECT p_partkey, p_brand, p_retailprice, round(sum(p_retailprice) OVER (PARTITION BY p_brand), 2)
+                / count(*) OVER (PARTITION BY p_brand) AS avg_brand_price, max(p_size) OVER (PARTITION BY p_brand) AS max_brand_size
        FROM part""",
 )
 def aggregate_by_brand(t: Tables) -> DataFrame:
     parts = t.part.select("p_partkey", "p_brand", "p_retailprice", "p_size")
     measures = {
-        "avg_brand_price": F.round(F.avg("p_retailprice"), 4),
+        "avg_brand_price": mean("p_retailprice"),
         "max_brand_size": F.max("p_size"),
     }
     return agg_by(parts, measures, ["p_brand"]).drop("p_size")
@@ -116,7 +116,7 @@ def fanout_safe(t: Tables) -> DataFrame:
 
 @query(
     "regrain",
-    """SELECT n_name, sum(size)::BIGINT AS total_size, round(avg(size), 4) AS avg_size
+    """SELECT n_name, sum(size)::BIGINT AS total_size, avg(size) AS avg_size
        FROM (SELECT n_name, l_orderkey, max(p_size) AS size
              FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
              JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2) GROUP BY 1""",
@@ -133,7 +133,7 @@ def regrain_sizes(t: Tables) -> DataFrame:
         {"size": F.max("p_size")},
         {
             "total_size": F.sum("size"),
-            "avg_size": F.round(F.avg("size"), 4),
+            "avg_size": F.avg("size"),
         },
     )
 
@@ -177,7 +177,7 @@ def percent_of_parent(t: Tables) -> DataFrame:
 
 @query(
     "avg_of_order_totals",
-    """SELECT l_linestatus, round(avg(total), 4) AS avg_order_total, max(n) AS most_lines
+    """SELECT l_linestatus, round(sum(total), 2) / count(*) AS avg_order_total, max(n) AS most_lines
        FROM (SELECT l_linestatus, l_orderkey, sum(l_extendedprice) AS total, count(*) AS n
              FROM lineitem GROUP BY 1, 2) GROUP BY 1""",
 )
@@ -187,19 +187,19 @@ def avg_of_order_totals(t: Tables) -> DataFrame:
         ["l_linestatus", "l_orderkey"],
         {"total": F.sum("l_extendedprice"), "n": count_rows()},
         ["l_linestatus"],
-        {"avg_order_total": F.round(F.avg("total"), 4), "most_lines": F.max("n")},
+        {"avg_order_total": mean("total"), "most_lines": F.max("n")},
     )
 
 
 @query(
     "bucket_hist",
     """SELECT round(o_totalprice / 50000) * 50000 AS price_bucket, count(*) AS orders,
-              round(avg(o_totalprice), 4) AS avg_price FROM orders GROUP BY 1""",
+              round(sum(o_totalprice), 2) / count(*) AS avg_price FROM orders GROUP BY 1""",
 )
 def bucket_hist(t: Tables) -> DataFrame:
     bucket = F.round(F.col("o_totalprice") / 50000) * 50000
     return t.orders.groupBy(bucket.alias("price_bucket")).agg(
-        count_rows().alias("orders"), F.round(F.avg("o_totalprice"), 4).alias("avg_price")
+        count_rows().alias("orders"), mean("o_totalprice").alias("avg_price")
     )
 
 
@@ -237,13 +237,13 @@ _HOLIDAY = """CASE
 
 @query(
     "holiday_label",
-    f"""SELECT {_HOLIDAY} AS label, count(*) AS orders, round(avg(o_totalprice), 4) AS avg_price
+    f"""SELECT {_HOLIDAY} AS label, count(*) AS orders, round(sum(o_totalprice), 2) / count(*) AS avg_price
         FROM (SELECT month(o_orderdate) AS m, day(o_orderdate) AS d, dayname(o_orderdate) AS w, o_totalprice
               FROM orders) GROUP BY 1""",
 )
 def orders_by_holiday(t: Tables) -> DataFrame:
     return t.orders.groupBy(holiday_label(F.col("o_orderdate")).alias("label")).agg(
-        count_rows().alias("orders"), F.round(F.avg("o_totalprice"), 4).alias("avg_price")
+        count_rows().alias("orders"), mean("o_totalprice").alias("avg_price")
     )
 
 
@@ -369,7 +369,7 @@ def headline_measures(t: Tables) -> DataFrame:
     "rowset",
     """WITH big AS (SELECT o_custkey, count(*) AS orders FROM orders WHERE o_totalprice > 300000 GROUP BY 1)
        SELECT c_mktsegment, count(*) AS customers, max(orders) AS most_orders,
-              round(avg(orders), 4) AS avg_orders
+              avg(orders) AS avg_orders
        FROM big JOIN customer ON o_custkey = c_custkey WHERE orders > 1 GROUP BY 1""",
 )
 def rowset(t: Tables) -> DataFrame:
@@ -383,7 +383,7 @@ def rowset(t: Tables) -> DataFrame:
     return repeat.groupBy("c_mktsegment").agg(
         count_rows().alias("customers"),
         F.max("orders").alias("most_orders"),
-        F.round(F.avg("orders"), 4).alias("avg_orders"),
+        F.avg("orders").alias("avg_orders"),
     )
 
 

