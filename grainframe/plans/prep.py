@@ -156,7 +156,7 @@ def minimise_documents(t: Tables) -> DataFrame:
         "lang",
         F.lit(" == References == none"),
     )
-    return t.documents.select("doc_id", minimise_text(article).alias("summary"))
+    return minimise_text(t.documents.select("doc_id", article.alias("summary")), "summary")
 
 
 @query(

@@ -124,22 +124,23 @@ def strip_citations(text: Column) -> Column:
     return _strip(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-def minimise_text(text: Column) -> Column:
-    """A short summary of an encyclopedia text.
+def minimise_text(df: DataFrame, column: str) -> DataFrame:
+    """Cut encyclopedia texts to short summaries.
 
     Lists, references and links go, then citations.  If hardly anything is
     left, the first sentence stands in.  The distribution and taxonomy sections
-    are appended.
+    are appended.  Works in two steps, so the long chain of replacements is
+    evaluated once per row.
     """
+    text = F.col(column)
     short = text
     for pattern in _CUT_SECTIONS:
         short = F.regexp_replace(short, pattern, "")
-    short = strip_citations(short)
+    df = df.withColumn("__short", strip_citations(short))
     sentence = F.split_part(F.translate(text, "!?", ".."), F.lit("."), F.lit(1))
-    short = F.when(
-        (F.length(short) < SHORT) & (F.length(sentence) > SHORT), _strip(sentence)
-    ).otherwise(short)
+    meagre = (F.length("__short") < SHORT) & (F.length(sentence) > SHORT)
+    parts = [F.when(meagre, _strip(sentence)).otherwise(F.col("__short"))]
     for pattern in (DISTRIBUTION_SECTION, TAXONOMY_SECTION):
-        section = _strip(F.regexp_extract(text, pattern, 1))
-        short = F.when(section != "", F.concat(short, F.lit(" "), section)).otherwise(short)
-    return F.when(text != "", short).otherwise(text)
+        parts.append(F.nullif(_strip(F.regexp_extract(text, pattern, 1)), F.lit("")))
+    summary = F.concat_ws(" ", *parts)
+    return df.withColumn(column, F.when(text != "", summary).otherwise(text)).drop("__short")
