@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _edges(ring: Column) -> Column:
+def ring_edges(ring: Column) -> Column:
     """The ring paired with itself moved by one point: ``struct<a, b>`` per edge."""
     turned = F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1))
     return F.zip_with(ring, turned, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
@@ -23,12 +23,12 @@ def _cross(edge: Column) -> Column:
 
 def ring_area(ring: Column) -> Column:
     """Planar area (shoelace), always positive."""
-    return F.abs(_sum(_edges(ring), _cross)) / 2
+    return F.abs(_sum(ring_edges(ring), _cross)) / 2
 
 
 def ring_centroid(ring: Column) -> Column:
     """Planar centroid ``struct<x,y>``; null for rings without area."""
-    edges = _edges(ring)
+    edges = ring_edges(ring)
     twice = _sum(edges, _cross)
 
     def axis(name: str) -> Column:
@@ -53,8 +53,8 @@ def ring_bounds(ring: Column) -> Column:
     )
 
 
-def in_ring(ring: Column, x: Column, y: Column) -> Column:
-    """True if the point lies in the ring (even-odd rule).
+def edges_around(edges: Column, x: Column, y: Column) -> Column:
+    """True if the point lies inside the edges of a ring (even-odd rule).
 
     Edges are half open, so a point on a border shared by two polygons belongs
     to exactly one of them.
@@ -67,10 +67,14 @@ def in_ring(ring: Column, x: Column, y: Column) -> Column:
             (y - a.getField("y")) * (b.getField("x") - a.getField("x")),
             b.getField("y") - a.getField("y"),
         )
-        return F.when(spans & (x < at), 1).otherwise(0)
+        return spans & (x < at)
+
+    return F.aggregate(edges, F.lit(False), lambda odd, e: odd != crosses(e))
 
-    hits = F.aggregate(_edges(ring), F.lit(0), lambda acc, e: acc + crosses(e))
-    return hits % 2 == 1
+
+def in_ring(ring: Column, x: Column, y: Column) -> Column:
+    """``edges_around`` for a ring; prepare the edges once where many points are tested."""
+    return edges_around(ring_edges(ring), x, y)
 
 
 def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:

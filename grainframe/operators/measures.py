@@ -187,18 +187,18 @@ def nest(
     The list has one element per inner value, not per row.  A group with more
     than ``max_items`` inner values is an error that names the flat form
     (``groupBy(outer + inner)``) as the way to go; nothing is cut silently.
+    Group sizes are known before any list is built, so no task gathers more
+    than ``max_items`` elements of a group.
     """
     flat = df.groupBy(*outer, *inner).agg(*_aliased(measures))
     if having is not None:
         flat = flat.filter(having)
     fields = [*order, *[c for c in [*inner, *measures] if c not in order]]
-    item = F.struct(*fields)
-    place = Window.partitionBy(*outer).orderBy(*[F.desc(c) for c in fields])
-    bounded = flat.withColumn("__n", F.row_number().over(place)).filter(F.col("__n") <= max_items + 1)
-    lists = bounded.groupBy(*outer).agg(F.sort_array(F.collect_list(item), asc=False).alias(out))
     message = F.lit(f"more than {max_items} inner values: group by outer and inner columns instead")
-    checked = F.when(F.size(out) > max_items, F.raise_error(message)).otherwise(F.col(out))
-    return lists.withColumn(out, checked)
+    sized = agg_by(flat, {"__size": count_rows()}, list(outer))
+    item = F.when(F.col("__size") > max_items, F.raise_error(message)).otherwise(F.struct(*fields))
+    items = sized.select(*outer, item.alias("__item"))
+    return items.groupBy(*outer).agg(F.sort_array(F.collect_list("__item"), asc=False).alias(out))
 
 
 def symmetric_measures(names: Sequence[str], sides: Sequence[str], agg=F.sum) -> dict[str, Column]:

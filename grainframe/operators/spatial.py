@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainframe.functions.geometry import in_ring, ring_bounds
+from grainframe.functions.geometry import edges_around, ring_bounds, ring_edges
 
 # Each level has cells twice as wide as the one below; 40 levels span a factor of 10^12.
 _LEVELS = 40
@@ -51,6 +51,7 @@ def points_in_polygons(
         "__cy", F.explode(touched("__box.y0", "__box.y1"))
     )
     cells = cells.withColumnRenamed("__level", "__poly_level")
+    cells = cells.withColumn("__edges", ring_edges(F.col(ring))).drop(ring)
 
     levels = filed.agg(F.array_sort(F.collect_set("__level"))).scalar()
     spots = points.withColumn("__level", F.explode(levels))
@@ -61,7 +62,7 @@ def points_in_polygons(
         & (_cell(F.col(y), F.col("__level"), cell) == F.col("__cy"))
         & F.col(x).between(F.col("__box.x0"), F.col("__box.x1"))
         & F.col(y).between(F.col("__box.y0"), F.col("__box.y1"))
-        & in_ring(F.col(ring), F.col(x), F.col(y)),
+        & edges_around(F.col("__edges"), F.col(x), F.col(y)),
     )
     found = [c for c in polygons.columns if c != ring]
     if how == "inner":

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from grainframe.functions.conditions import ratio
-from grainframe.operators.joins import enrich
 from grainframe.operators.ordering import Order, global_rank, sort_columns
 from grainframe.session import cut_lineage
 
@@ -78,7 +77,3 @@ def moving_avg(
     frame = _along(order, within).rowsBetween(-(n - 1), 0)
     return groups.withColumn(out, F.avg(measure).over(frame))
 
-
-def attach_rank(rows: DataFrame, ranked: DataFrame, entity: str, columns: Sequence[str]) -> DataFrame:
-    """Carry entity ranks back to finer rows."""
-    return enrich(rows, ranked, entity, columns)

@@ -135,12 +135,15 @@ def dim_preserving(t: Tables) -> DataFrame:
     )
 
 
-_LOOSE = """(SELECT l_orderkey, l_linenumber, nullif(l_suppkey % 40, 7) AS supp_ref FROM lineitem)"""
+_LOOSE = """(SELECT l_orderkey, l_linenumber, nullif(l_suppkey, 7) + 5 AS supp_ref FROM lineitem)"""
 
 
 def _loose_lines(t: Tables) -> DataFrame:
-    """Line items with a supplier reference that is null for some rows and misses suppliers."""
-    reference = F.nullif(F.col("l_suppkey") % 40, F.lit(7).cast("long"))
+    """Line items whose supplier reference is null for one supplier and off by five.
+
+    So some references dangle and some suppliers are never referenced.
+    """
+    reference = F.nullif("l_suppkey", F.lit(7)) + 5
     return t.lineitem.select("l_orderkey", "l_linenumber", reference.alias("supp_ref"))
 
 
@@ -401,20 +404,20 @@ def attribute_enrich(t: Tables) -> DataFrame:
     return enrich(t.part.select("p_partkey", "p_brand"), brands, "p_brand", keep="fact")
 
 
-# Boxes per nation over (supplier number, balance); the oracle tests them as ranges.
+# Overlapping boxes, one per nation; the SQL tests them as ranges.
 _ZONES = """SELECT n_nationkey AS zone, n_name AS zone_name,
-                   CAST(n_nationkey * 2 AS DOUBLE) AS x0, CAST(n_nationkey * 2 + 3 AS DOUBLE) AS x1,
+                   CAST(n_nationkey * 2000 AS DOUBLE) AS x0, CAST(n_nationkey * 2000 + 3000 AS DOUBLE) AS x1,
                    CAST(n_regionkey * 20000 - 1000 AS DOUBLE) AS y0,
                    CAST(n_regionkey * 20000 + 29000 AS DOUBLE) AS y1
             FROM nation"""
 
 
 def _zones(t: Tables) -> DataFrame:
-    x0, y0 = F.col("n_nationkey") * 2, F.col("n_regionkey") * 20000 - 1000
+    x0, y0 = F.col("n_nationkey") * 2000, F.col("n_regionkey") * 20000 - 1000
     return t.nation.select(
         F.col("n_nationkey").alias("zone"),
         F.col("n_name").alias("zone_name"),
-        box_ring(x0, y0, x0 + 3, y0 + 30000).alias("ring"),
+        box_ring(x0, y0, x0 + 3000, y0 + 30000).alias("ring"),
     )
 
 
@@ -422,12 +425,14 @@ def _zones(t: Tables) -> DataFrame:
     "point_in_polygon",
     f"""SELECT z.zone_name, count(*) AS lines
         FROM lineitem l JOIN ({_ZONES}) z
-          ON l_quantity >= x0 AND l_quantity < x1 AND l_extendedprice >= y0 AND l_extendedprice < y1
+          ON l_quantity * 1000 >= x0 AND l_quantity * 1000 < x1 AND l_extendedprice >= y0 AND l_extendedprice < y1
         GROUP BY 1""",
 )
 def point_in_polygon(t: Tables) -> DataFrame:
     """Line items as points (quantity, price) in overlapping zones."""
-    points = t.lineitem.select(F.col("l_quantity").alias("x"), F.col("l_extendedprice").alias("y"))
+    points = t.lineitem.select(
+        (F.col("l_quantity") * 1000).alias("x"), F.col("l_extendedprice").alias("y")
+    )
     inside = points_in_polygons(points, _zones(t), cell=1000.0)
     return inside.groupBy("zone_name").agg(count_rows().alias("lines"))
 
@@ -436,13 +441,13 @@ def point_in_polygon(t: Tables) -> DataFrame:
     "point_in_polygon_left",
     f"""SELECT p.p_partkey, z.zone_name
         FROM part p LEFT JOIN ({_ZONES}) z
-          ON p_size >= x0 AND p_size < x1 AND p_retailprice * 20 >= y0 AND p_retailprice * 20 < y1""",
+          ON p_size * 1000 >= x0 AND p_size * 1000 < x1 AND p_retailprice * 20 >= y0 AND p_retailprice * 20 < y1""",
 )
 def point_in_polygon_left(t: Tables) -> DataFrame:
     """Points without a zone stay."""
     points = t.part.select(
         "p_partkey",
-        F.col("p_size").cast("double").alias("x"),
+        (F.col("p_size") * 1000.0).alias("x"),
         (F.col("p_retailprice") * 20).alias("y"),
     )
     joined = points_in_polygons(points, _zones(t), cell=1000.0, point_key="p_partkey", how="left")

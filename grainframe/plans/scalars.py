@@ -320,8 +320,8 @@ def array_fns(t: Tables) -> DataFrame:
     "tag_lookup",
     """SELECT o_orderkey, o_orderpriority AS priority, CAST(NULL AS VARCHAR) AS missing,
               o_orderstatus = 'F' AS is_filled, true AS has_status,
-              CASE WHEN o_orderkey % 2 = 0 THEN 'even' END AS parity
-       FROM orders WHERE o_orderkey % 2 = 0 OR o_orderstatus = 'F'""",
+              CASE WHEN o_orderpriority = '1-URGENT' THEN 'yes' END AS urgent
+       FROM orders WHERE o_orderpriority = '1-URGENT' OR o_orderstatus = 'F'""",
 )
 def tag_lookup(t: Tables) -> DataFrame:
     """Lookups in a list of key/value tags."""
@@ -329,22 +329,22 @@ def tag_lookup(t: Tables) -> DataFrame:
     def pair(key: str, value):
         return F.struct(F.lit(key).alias("key"), value.alias("value"))
 
-    parity = F.when(F.col("o_orderkey") % 2 == 0, F.lit("even"))
+    urgent = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("yes"))
     tags = F.array(
         pair("status", F.col("o_orderstatus")),
         pair("priority", F.col("o_orderpriority")),
-        pair("parity", parity),
+        pair("urgent", urgent),
     )
     tagged = t.orders.select("o_orderkey", tags.alias("tags"))
     all_tags = F.col("tags")
-    kept = tagged.filter(has_tag(all_tags, "parity") | has_tag(all_tags, "status", "F"))
+    kept = tagged.filter(has_tag(all_tags, "urgent") | has_tag(all_tags, "status", "F"))
     return kept.select(
         "o_orderkey",
         tag_value(all_tags, "priority").alias("priority"),
         tag_value(all_tags, "nothing").alias("missing"),
         has_tag(all_tags, "status", "F").alias("is_filled"),
         has_tag(all_tags, "status").alias("has_status"),
-        tag_map(all_tags).getItem("parity").alias("parity"),
+        tag_map(all_tags).getItem("urgent").alias("urgent"),
     )
 
 

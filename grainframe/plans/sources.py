@@ -177,7 +177,6 @@ def export_columns(t: Tables) -> DataFrame:
 )
 def append_twice(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "orders-load")
-    load(t.orders.limit(0), path)
     load(t.orders, path, "truncate")
     stored = load(t.orders, path, "append")
     return stored.groupBy("o_orderpriority").agg(F.count("o_orderkey").alias("orders"))

@@ -161,25 +161,26 @@ def limited(t: Tables) -> DataFrame:
 
 @query(
     "union_sides",
-    """SELECT side, nation_key, count(*) AS pairs, round(sum(balance), 2) AS balance FROM (
-         SELECT 'customer' AS side, c_nationkey AS nation_key, c_acctbal AS balance
-           FROM orders JOIN customer ON o_custkey = c_custkey
+    """SELECT side, nation_key, count(*) AS lines, round(sum(price), 2) AS price FROM (
+         SELECT 'customer' AS side, c_nationkey AS nation_key, l_extendedprice AS price
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
          UNION ALL
-         SELECT 'clerk', s_nationkey, s_acctbal
-           FROM orders JOIN supplier ON o_orderkey % 10 = s_suppkey) GROUP BY 1, 2""",
+         SELECT 'supplier', s_nationkey, l_extendedprice
+           FROM lineitem JOIN supplier ON l_suppkey = s_suppkey) GROUP BY 1, 2""",
 )
-def customer_and_clerk_sides(t: Tables) -> DataFrame:
-    """Two sides of each order as rows, from one pass over the wide rows."""
-    wide = enrich(t.orders, t.customer, {"o_custkey": "c_custkey"}, ["c_nationkey", "c_acctbal"])
-    wide = wide.withColumn("clerk", F.col("o_orderkey") % 10)
-    wide = enrich(wide, t.supplier, {"clerk": "s_suppkey"}, ["s_nationkey", "s_acctbal"])
+def customer_and_supplier_sides(t: Tables) -> DataFrame:
+    """The buying and the selling side of each line as rows, from one pass over the wide rows."""
+    orders = enrich(t.orders, t.customer, {"o_custkey": "c_custkey"}, ["c_nationkey"])
+    wide = enrich(t.lineitem, orders, {"l_orderkey": "o_orderkey"}, ["c_nationkey"])
+    wide = enrich(wide, t.supplier, {"l_suppkey": "s_suppkey"}, ["s_nationkey"])
     tall = union_sides(
         wide,
         {
-            "customer": {"nation_key": F.col("c_nationkey"), "balance": F.col("c_acctbal")},
-            "clerk": {"nation_key": F.col("s_nationkey"), "balance": F.col("s_acctbal")},
+            "customer": {"nation_key": F.col("c_nationkey")},
+            "supplier": {"nation_key": F.col("s_nationkey")},
         },
+        common=["l_extendedprice"],
     )
     return tall.groupBy("side", "nation_key").agg(
-        count_rows().alias("pairs"), F.round(F.sum("balance"), 2).alias("balance")
+        count_rows().alias("lines"), F.round(F.sum("l_extendedprice"), 2).alias("price")
     )

@@ -121,7 +121,7 @@ def strip_citations(text: Column) -> Column:
     """Drop citations, years and article numbers; collapse blanks."""
     for pattern in _CUT_CITATIONS:
         text = F.regexp_replace(text, "(?U)" + pattern, "")
-    return _strip(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
 def minimise_text(df: DataFrame, column: str) -> DataFrame:
@@ -137,7 +137,7 @@ def minimise_text(df: DataFrame, column: str) -> DataFrame:
     for pattern in _CUT_SECTIONS:
         short = F.regexp_replace(short, pattern, "")
     df = df.withColumn("__short", strip_citations(short))
-    sentence = F.split_part(F.translate(text, "!?", ".."), F.lit("."), F.lit(1))
+    sentence = F.regexp_extract(text, r"^[^.!?]*", 0)
     meagre = (F.length("__short") < SHORT) & (F.length(sentence) > SHORT)
     parts = [F.when(meagre, _strip(sentence)).otherwise(F.col("__short"))]
     for pattern in (DISTRIBUTION_SECTION, TAXONOMY_SECTION):

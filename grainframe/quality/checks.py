@@ -136,15 +136,15 @@ def candidate_keys(df: DataFrame, columns: Sequence[str], max_columns: int = 2)
     spark = df.sparkSession
     rough = df.agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.approx_count_distinct(c, 0.02).alias(c) for c in columns],
+        *[F.approx_count_distinct(c).alias(c) for c in columns],
     ).first()
     rows, found = rough["__rows"], []
     for size in range(1, max_columns + 1):
-        # 0.8 leaves room for ten standard errors of the estimate.
+        # 0.6 leaves room for eight standard errors of the estimate (5 % each).
         likely = [
             names
             for names in combinations(columns, size)
-            if prod(rough[n] for n in names) >= 0.8 * rows
+            if prod(rough[n] for n in names) >= 0.6 * rows
             and not any(set(key) <= set(names) for key in found)
         ]
         if not likely:
