@@ -8,9 +8,11 @@ from grainframe.functions.arrays import (
     tag_value,
 )
 from grainframe.functions.conditions import (
+    age_bucket,
     band,
     calc_percent,
     case_map,
+    generation,
     only_if,
     ratio,
     unless_sentinel,
@@ -46,6 +48,7 @@ from grainframe.functions.traits import register_trait, tag, traits
 
 __all__ = [
     "add_units",
+    "age_bucket",
     "band",
     "box_ring",
     "calc_percent",
@@ -56,6 +59,7 @@ __all__ = [
     "day_of_week",
     "explode_list",
     "fuzzy_date",
+    "generation",
     "has_tag",
     "hash_color",
     "holiday_label",

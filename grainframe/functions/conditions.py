@@ -31,6 +31,33 @@ def band(value: Column, bands: Sequence[tuple[Any, Any, str]], default: str | No
     return out.otherwise(F.lit(default))
 
 
+# Age bands, and generations by first and last birth year.
+AGE_BANDS = (
+    (None, 12, "child"),
+    (13, 19, "teenager"),
+    (20, 35, "young adult"),
+    (36, 59, "adult"),
+    (60, None, "elderly"),
+)
+GENERATIONS = (
+    (1883, 1900, "Lost Generation"),
+    (1901, 1927, "G.I. Generation"),
+    (1928, 1945, "Silent Generation"),
+    (1946, 1964, "Baby Boomers"),
+    (1965, 1980, "Generation X"),
+    (1981, 1996, "Millenials"),
+    (1997, 2012, "Generation Z"),
+)
+
+
+def age_bucket(age: Column) -> Column:
+    return band(age, AGE_BANDS, "unknown")
+
+
+def generation(birth_year: Column) -> Column:
+    return band(birth_year, GENERATIONS, "Other")
+
+
 def case_map(value: Column, labels: Mapping[Any, Any], default: Any = None) -> Column:
     """Simple CASE over a short list of values; see ``decode`` for long lists."""
     out = None

@@ -3,6 +3,7 @@
 from grainframe.plans import (  # noqa: F401  (importing a pack registers its queries)
     aggregates,
     dashboard,
+    examples,
     joins,
     prep,
     projection,

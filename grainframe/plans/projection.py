@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from grainframe.functions import band, case_map, only_if, ratio, tag, traits
+from grainframe.functions import age_bucket, case_map, only_if, ratio, tag, traits
 from grainframe.operators import (
     agg_by,
     apply_filter,
@@ -225,16 +225,6 @@ def null_logic(t: Tables) -> DataFrame:
     )
 
 
-# Age bands and generations by first and last year.
-AGE_BANDS = (
-    (None, 12, "child"),
-    (13, 19, "teenager"),
-    (20, 35, "young adult"),
-    (36, 59, "adult"),
-    (60, None, "elderly"),
-)
-
-
 @query(
     "case_bucket",
     """SELECT p_partkey,
@@ -253,7 +243,7 @@ def case_bucket(t: Tables) -> DataFrame:
     )
     return t.part.select(
         "p_partkey",
-        band(size, AGE_BANDS, "unknown").alias("age_bucket"),
+        age_bucket(size).alias("age_bucket"),
         size_bin.alias("size_bin"),
     )
 

@@ -17,6 +17,7 @@ from grainframe.sources.write import (
     export,
     load,
     materialize,
+    materialize_table,
     write_bucketed,
 )
 
@@ -31,6 +32,7 @@ __all__ = [
     "load",
     "lookup_from_json",
     "materialize",
+    "materialize_table",
     "pick_source",
     "refresh",
     "rollup_read",
