@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from grainframe.functions import holiday_label, month_start, ratio
+from grainframe.functions.dates import HOLIDAYS
 from grainframe.operators import (
     agg_by,
     agg_native,
@@ -216,23 +217,14 @@ def monthly_revenue(t: Tables) -> DataFrame:
     ).agg(F.round(F.sum(discounted()), 4).alias("revenue"))
 
 
-_HOLIDAY = """CASE
-  WHEN m = 1 AND d = 1 THEN 'New Years Day'
-  WHEN m = 2 AND d = 14 THEN 'Valentines Day'
-  WHEN m = 2 AND w = 'Monday' AND d BETWEEN 15 AND 21 THEN 'Presidents Day'
-  WHEN m = 3 AND d = 17 THEN 'St. Patricks Day'
-  WHEN m = 4 AND d = 1 THEN 'April Fools Day'
-  WHEN m = 5 AND w = 'Monday' AND d >= 25 THEN 'Memorial Day'
-  WHEN m = 7 AND d = 4 THEN 'Independence Day'
-  WHEN m = 9 AND w = 'Monday' AND d <= 7 THEN 'Labor Day'
-  WHEN m = 10 AND d = 31 THEN 'Halloween'
-  WHEN m = 11 AND d = 11 THEN 'Veterans Day'
-  WHEN m = 11 AND w = 'Thursday' AND d BETWEEN 22 AND 28 THEN 'Thanksgiving'
-  WHEN m = 11 AND w = 'Friday' AND d BETWEEN 23 AND 29 THEN 'Black Friday'
-  WHEN m = 12 AND d = 24 THEN 'Christmas Eve'
-  WHEN m = 12 AND d = 25 THEN 'Christmas'
-  WHEN m = 12 AND d = 31 THEN 'New Years Eve'
-  ELSE w END"""
+_HOLIDAY = "CASE {} ELSE w END".format(
+    " ".join(
+        f"WHEN m = {month} AND d BETWEEN {first} AND {last}"
+        + (f" AND w = '{weekday}'" if weekday else "")
+        + f" THEN '{label}'"
+        for label, month, first, last, weekday in HOLIDAYS
+    )
+)
 
 
 @query(

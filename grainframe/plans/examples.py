@@ -17,6 +17,7 @@ from grainframe.functions import (
     within_last,
     year_diff,
 )
+from grainframe.functions.conditions import GENERATIONS
 from grainframe.operators import (
     agg_of_agg,
     align,
@@ -35,7 +36,7 @@ from grainframe.operators import (
     topk,
     with_total,
 )
-from grainframe.plans.projection import mean
+from grainframe.plans.projection import _band_sql, mean
 from grainframe.plans.registry import query
 from grainframe.plans.tables import Tables, star
 
@@ -109,15 +110,8 @@ def win_rate(t: Tables) -> DataFrame:
 
 @query(
     "ex_generations",
-    """SELECT CASE WHEN y BETWEEN 1883 AND 1900 THEN 'Lost Generation'
-                   WHEN y BETWEEN 1901 AND 1927 THEN 'G.I. Generation'
-                   WHEN y BETWEEN 1928 AND 1945 THEN 'Silent Generation'
-                   WHEN y BETWEEN 1946 AND 1964 THEN 'Baby Boomers'
-                   WHEN y BETWEEN 1965 AND 1980 THEN 'Generation X'
-                   WHEN y BETWEEN 1981 AND 1996 THEN 'Millenials'
-                   WHEN y BETWEEN 1997 AND 2012 THEN 'Generation Z' ELSE 'Other' END AS generation,
-              count(*) AS riders
-       FROM (SELECT CAST(1875 + c_acctbal / 70 AS INTEGER) AS y FROM customer) GROUP BY 1""",
+    f"""SELECT {_band_sql("y", GENERATIONS, "Other")} AS generation, count(*) AS riders
+        FROM (SELECT CAST(1875 + c_acctbal / 70 AS INTEGER) AS y FROM customer) GROUP BY 1""",
 )
 def generations(t: Tables) -> DataFrame:
     year = F.rint(1875 + F.col("c_acctbal") / 70).cast("int")

@@ -145,7 +145,25 @@ def normalised_flags(t: Tables) -> DataFrame:
     return fixed.drop("p_name")
 
 
-@query("minimise_text")
+@query(
+    "minimise_text",
+    r"""WITH article AS (
+          SELECT doc_id, text || ' (Linnaeus, 1758) == Species == many == Distribution == in ' || source
+                 || ' == Taxonomy == family ' || lang || ' == References == none' AS x FROM documents),
+        cut AS (
+          SELECT doc_id, x, regexp_replace(regexp_replace(x, '(?s)== Species ==.*?(==|$)', '\1'),
+                                           '(?s)== References ==.*', '') AS s FROM article),
+        bare AS (
+          SELECT doc_id, x, regexp_replace(regexp_replace(regexp_replace(s, '\([^)]*\d{4}[^)]*\)', '', 'g'),
+                 ',\s*\d{4}', '', 'g'), '\b[A-Z][a-z]+\s*,\s*\d{4}', '', 'g') AS s FROM cut),
+        art AS (
+          SELECT doc_id, x, regexp_replace(regexp_replace(s, '\(Art\.\s*\d*\)', '', 'g'), 'Art\.\s*\d+', '', 'g')
+                 AS s FROM bare)
+        SELECT doc_id, trim(regexp_replace(s, '[\s\x0B]+', ' ', 'g'))
+               || ' ' || trim(regexp_extract(x, '(?s)== Distribution ==(.*?)(==|$)', 1))
+               || ' ' || trim(regexp_extract(x, '(?s)== Taxonomy ==(.*?)(==|$)', 1)) AS summary
+        FROM art""",
+)
 def minimise_documents(t: Tables) -> DataFrame:
     """Documents dressed as encyclopedia articles and cut down again."""
     article = F.concat(

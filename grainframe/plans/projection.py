@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainframe.functions import age_bucket, case_map, only_if, ratio, tag, traits
+from grainframe.functions.conditions import AGE_BANDS
 from grainframe.operators import (
     agg_by,
     apply_filter,
@@ -225,13 +226,19 @@ def null_logic(t: Tables) -> DataFrame:
     )
 
 
+def _band_sql(column: str, bands, default: str) -> str:
+    """CASE over bands with inclusive bounds, open where a bound is missing."""
+    whens = " ".join(
+        f"WHEN {column} >= {-(2**31) if low is None else low} AND {column} <= {2**31 if high is None else high}"
+        f" THEN '{label}'"
+        for low, high, label in bands
+    )
+    return f"CASE {whens} ELSE '{default}' END"
+
+
 @query(
     "case_bucket",
-    """SELECT p_partkey,
-              CASE WHEN p_size <= 12 THEN 'child' WHEN p_size BETWEEN 13 AND 19 THEN 'teenager'
-                   WHEN p_size BETWEEN 20 AND 35 THEN 'young adult'
-                   WHEN p_size BETWEEN 36 AND 59 THEN 'adult' WHEN p_size >= 60 THEN 'elderly'
-                   ELSE 'unknown' END AS age_bucket,
+    f"""SELECT p_partkey, {_band_sql("p_size", AGE_BANDS, "unknown")} AS age_bucket,
               CASE WHEN p_size < 1 THEN '0-1' WHEN p_size < 10 THEN '1-10'
                    WHEN p_size < 100 THEN '10-100' ELSE '100+' END AS size_bin
        FROM part""",
