@@ -144,6 +144,11 @@ class Catalog:
 
         Columns are named by their full path (dots included).  With
         ``distinct`` the root is reduced to distinct rows before any join.
+
+        Join order follows table sizes.  A branch of small tables is joined to
+        its parent one by one: each is broadcast by its own size, and the
+        parent is not shuffled.  A branch that holds a large table is joined
+        together first, so the parent's rows are shuffled once for it.
         """
         routes = self._routes(root)
         columns: dict[tuple[str, ...], set[str]] = {(): set()}
@@ -153,25 +158,47 @@ class Catalog:
                 columns.setdefault(route[: i - 1], set()).update(edge.on)
                 columns.setdefault(route[:i], set()).update(edge.on.values())
             columns[route].add(column)
-        out = None
-        for route in sorted(columns, key=len):
+
+        def table(route: tuple[str, ...]) -> DataFrame:
             target = routes[route][-1].target if route else root
             side = self.datasets[target].df.select(
                 *[F.col(c).alias(".".join((*route, c))) for c in sorted(columns[route])]
             )
-            if out is None:
-                out = side.distinct() if distinct else side
-                continue
+            return side.distinct() if distinct and not route else side
+
+        def children(route: tuple[str, ...]) -> list[tuple[str, ...]]:
+            return sorted(r for r in columns if len(r) == len(route) + 1 and r[:-1] == route)
+
+        def is_small(route: tuple[str, ...]) -> bool:
+            return fits_broadcast(table(route)) and all(is_small(c) for c in children(route))
+
+        def attach(frame: DataFrame, route: tuple[str, ...], side: DataFrame) -> DataFrame:
             edge = routes[route][-1]
-            condition = reduce(
-                lambda a, b: a & b,
-                [
-                    named((*route[:-1], s)) == named((*route, t))
-                    for s, t in edge.on.items()
-                ],
-            )
-            out = out.join(side, condition, "left" if edge.nullable else "inner")
-        return out
+            pairs = [
+                named((*route[:-1], s)) == named((*route, t)) for s, t in edge.on.items()
+            ]
+            condition = reduce(lambda a, b: a & b, pairs)
+            return frame.join(side, condition, "left" if edge.nullable else "inner")
+
+        def extend(frame: DataFrame, route: tuple[str, ...]) -> DataFrame:
+            for child in children(route):
+                if is_small(child):
+                    frame = extend(attach(frame, child, table(child)), child)
+                else:
+                    frame = attach(frame, child, extend(table(child), child))
+            return frame
+
+        return extend(table(()), ())
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """True if Catalyst's size of ``df`` is below the session's broadcast threshold.
+
+    Meant for single tables, whose size comes from their files.
+    """
+    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= threshold
 
 
 def named(path: Sequence[str]) -> Column:

@@ -73,8 +73,8 @@ def wins_sum(t: Tables) -> DataFrame:
 )
 def cancel_rate(t: Tables) -> DataFrame:
     """A ratio of aggregates; order keys are unique in orders, so plain counts are exact."""
-    buyers = enrich(t.customer, t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
-    orders = enrich(t.orders, buyers, {"o_custkey": "c_custkey"}, ["n_name"])
+    orders = enrich(t.orders, t.customer, {"o_custkey": "c_custkey"}, ["c_nationkey"])
+    orders = enrich(orders, t.nation, {"c_nationkey": "n_nationkey"}, ["n_name"])
     pending = F.count(F.when(F.col("o_orderstatus") == "P", F.col("o_orderkey")))
     totals = orders.groupBy("n_name").agg(
         F.count("o_orderkey").alias("orders"), pending.alias("pending")
@@ -124,9 +124,9 @@ def fanout_safe(t: Tables) -> DataFrame:
 )
 def regrain_sizes(t: Tables) -> DataFrame:
     """The largest part size per order, summed and averaged per supplier nation."""
-    sellers = enrich(t.supplier, t.nation, {"s_nationkey": "n_nationkey"}, ["n_name"])
     lines = enrich(t.lineitem, t.part, {"l_partkey": "p_partkey"}, ["p_size"])
-    lines = enrich(lines, sellers, {"l_suppkey": "s_suppkey"}, ["n_name"])
+    lines = enrich(lines, t.supplier, {"l_suppkey": "s_suppkey"}, ["s_nationkey"])
+    lines = enrich(lines, t.nation, {"s_nationkey": "n_nationkey"}, ["n_name"])
     return regrain(
         lines,
         ["n_name"],
@@ -159,9 +159,9 @@ def percent_of_total(t: Tables) -> DataFrame:
        FROM g""",
 )
 def percent_of_parent(t: Tables) -> DataFrame:
-    sellers = enrich(t.supplier, t.nation, {"s_nationkey": "n_nationkey"}, ["n_name"])
     lines = enrich(t.lineitem, t.part, {"l_partkey": "p_partkey"}, ["p_brand"])
-    lines = enrich(lines, sellers, {"l_suppkey": "s_suppkey"}, ["n_name"])
+    lines = enrich(lines, t.supplier, {"l_suppkey": "s_suppkey"}, ["s_nationkey"])
+    lines = enrich(lines, t.nation, {"s_nationkey": "n_nationkey"}, ["n_name"])
     shares = pct_of_parent(
         lines,
         ["p_brand"],

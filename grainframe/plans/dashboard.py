@@ -123,9 +123,9 @@ def customer_regions(t: Tables) -> DataFrame:
        JOIN nation ON s_nationkey = n_nationkey GROUP BY 1, 2""",
 )
 def monthly_nations(t: Tables) -> DataFrame:
-    sellers = enrich(t.supplier, t.nation, {"s_nationkey": "n_nationkey"}, ["n_name"])
     lines = enrich(t.lineitem, t.orders, {"l_orderkey": "o_orderkey"}, ["o_orderdate"])
-    lines = enrich(lines, sellers, {"l_suppkey": "s_suppkey"}, ["n_name"])
+    lines = enrich(lines, t.supplier, {"l_suppkey": "s_suppkey"}, ["s_nationkey"])
+    lines = enrich(lines, t.nation, {"s_nationkey": "n_nationkey"}, ["n_name"])
     return lines.groupBy(
         month_start(F.col("o_orderdate")).alias("order_month"), F.col("n_name").alias("nation")
     ).agg(F.round(F.sum(discounted()), 4).alias("monthly_revenue"))
@@ -159,9 +159,9 @@ FROM g ORDER BY total_charge_price DESC, part_name, nation LIMIT 100"""
 def part_share_of_nation(t: Tables) -> DataFrame:
     """Charge and discounted price per part name and nation, with their shares of the nation."""
     lines = t.lineitem.filter(F.col("l_shipdate") <= F.lit("1998-12-01").cast("timestamp_ntz"))
-    sellers = enrich(t.supplier, t.nation, {"s_nationkey": "n_nationkey"}, ["n_name"])
     lines = enrich(lines, t.part, {"l_partkey": "p_partkey"}, ["p_name"])
-    lines = enrich(lines, sellers, {"l_suppkey": "s_suppkey"}, ["n_name", "s_nationkey"])
+    lines = enrich(lines, t.supplier, {"l_suppkey": "s_suppkey"}, ["s_nationkey"])
+    lines = enrich(lines, t.nation, {"s_nationkey": "n_nationkey"}, ["n_name"])
     shares = pct_of_parent(
         lines,
         ["p_name", "n_name"],

@@ -13,6 +13,7 @@ from grainframe.operators import (
     count_keys,
     count_rows,
     decode,
+    enrich,
     has_match,
     latest,
     replace_columns,
@@ -153,15 +154,9 @@ def min_cost_supplier(t: Tables) -> DataFrame:
     Lines are reduced to one price per part and supplier, and both the rows and
     the minimum come from that one exchange.
     """
-    europe = (
-        t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .filter(F.col("r_name") == "EUROPE")
-        .select("n_nationkey", "n_name")
-    )
-    suppliers = t.supplier.join(europe, F.col("s_nationkey") == F.col("n_nationkey"))
-    offers = t.lineitem.join(
-        suppliers.select("s_suppkey", "s_name", "n_name"), F.col("l_suppkey") == F.col("s_suppkey")
-    ).select(
+    places = enrich(t.nation, t.region.filter("r_name = 'EUROPE'"), {"n_regionkey": "r_regionkey"}, [])
+    lines = enrich(t.lineitem, t.supplier, {"l_suppkey": "s_suppkey"}, ["s_name", "s_nationkey"])
+    offers = enrich(lines, places, {"s_nationkey": "n_nationkey"}, ["n_name"]).select(
         F.col("l_partkey").alias("part_id"),
         F.col("l_suppkey").alias("supplier_id"),
         F.col("s_name").alias("supplier"),

@@ -16,7 +16,8 @@ TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8"
+        "tests", "local[8]", spark__ui__enabled="false", spark__driver__memory="6g",
+        spark__sql__shuffle__partitions="8"
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -239,3 +239,20 @@ def test_projection_helpers(spark):
     assert replace_columns(df, {"v": F.upper("v")}, ["m"]).columns == ["k", "v"]
     pack = {"n": lambda d: d.agg(count_rows().alias("n"))}
     assert rows(apply_filter(pack, df, F.col("m") > 3)["n"]) == [(2,)]
+
+
+def test_join_order_follows_table_sizes(spark, folder):
+    """Small branches leave the fact unshuffled; large ones are joined together first."""
+    catalog = star(Tables(spark, folder))
+    nation = (("order", "customer", "nation"), "n_name")
+    plan = plan_of(catalog.wide("lineitem", [nation, ((), "l_quantity")]))
+    assert plan.count("BroadcastHashJoin") == 3 and "Exchange hashpartitioning" not in plan
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100")
+    try:
+        plan = plan_of(catalog.wide("lineitem", [nation, ((), "l_quantity")]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    line = next(x for x in plan.splitlines() if "SortMergeJoin" in x)
+    assert "l_orderkey" in line, "lines are joined last, to orders that already know their nation"
+    exchanged = [x for x in plan.splitlines() if "Exchange hashpartitioning(l_" in x]
+    assert len(exchanged) == 1
