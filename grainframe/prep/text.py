@@ -11,11 +11,10 @@ from pyspark.sql.types import StringType
 # Control characters that are removed (tab and newline stay).
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
-# What is cut from encyclopedia summaries, in this order.
-SYNONYMY = r"(?s)Species brought into synonymy.*"
+# What is cut from encyclopedia summaries.  The first three end the
+# summary wherever they start, so one pattern cuts at the earliest of them.
+TAIL = r"(?s)(?:Species brought into synonymy|== References ==|== External links ==).*"
 SPECIES_SECTION = r"(?s)== Species ==.*?(?===|$)"
-REFERENCES_SECTION = r"(?s)== References ==.*"
-LINKS_SECTION = r"(?s)== External links ==.*"
 CITATION = r"\([^)]*\d{4}[^)]*\)"
 COMMA_YEAR = r",\s*\d{4}"
 AUTHOR_YEAR = r"\b[A-Z][a-z]+\s*,\s*\d{4}"
@@ -27,7 +26,7 @@ TAXONOMY_SECTION = r"(?s)== Taxonomy ==(.*?)(?===|$)"
 # Shorter summaries fall back to the first sentence, if that is longer.
 SHORT = 20
 
-_CUT_SECTIONS = (SYNONYMY, SPECIES_SECTION, REFERENCES_SECTION, LINKS_SECTION)
+_CUT_SECTIONS = (TAIL, SPECIES_SECTION)
 _CUT_CITATIONS = (CITATION, COMMA_YEAR, AUTHOR_YEAR, ARTICLE_IN_PARENS, ARTICLE)
 
 
