@@ -77,7 +77,8 @@ def global_rank(
 
     ``tie_break`` (a unique key) lets rows with equal order values lie in
     several partitions.  A tie group that crosses a border takes the rank of
-    its first row, which the partition summaries hold.
+    its first row, which the partition summaries hold.  Order columns that are
+    sums of doubles should come from a written frame (``cut_lineage``).
     """
     spread = _spread(df, [*order, *[(c, "asc") for c in tie_break]])
     local = Window.partitionBy("__part").orderBy(*sort_columns(order))

@@ -23,11 +23,13 @@ def rank_entities(
     """One row per entity with measures and one ``RANK`` column per order in ``ranks``.
 
     The number of entities may grow with the data, so each rank is taken over
-    range partitions (see ``ordering``).
+    range partitions (see ``ordering``).  Entity totals are written once before:
+    they decide the partition, so they must not be summed again in another order.
     """
     out = df.groupBy(*entity).agg(*[m.alias(n) for n, m in measures.items()])
     if having is not None:
         out = out.filter(having)
+    out = cut_lineage(out, "entities")
     for name, order in ranks.items():
         out = global_rank(out, order, name, tie_break=entity)
     return out

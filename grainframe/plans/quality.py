@@ -18,6 +18,7 @@ from grainframe.quality import (
     check_schema,
     run_pack,
     suggest_binding,
+    validate_catalog,
 )
 
 
@@ -25,7 +26,7 @@ from grainframe.quality import (
     "check_schema",
     " UNION ALL ".join(
         f"""SELECT '{column}' AS "column", '{kind}' AS declared, '{kind}' AS actual, true AS same_type,
-                   count({column}) AS not_null, count({column}) AS fitting FROM lineitem"""
+                   count(*) AS "rows", count({column}) AS not_null, count({column}) AS fitting FROM lineitem"""
         for column, kind in _types("lineitem").items()
     ),
 )
@@ -151,6 +152,17 @@ def suggested_binding(t: Tables) -> DataFrame:
     return suggest_binding(customers, {"c_nationkey": (t.nation, "n_nationkey")})
 
 
+@query(
+    "validate_model",
+    """SELECT 'lineitem' AS dataset, 'grain' AS "check", 'l_orderkey,l_linenumber' AS subject,
+              count(*) AS violations
+       FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)""",
+)
+def validate_model(t: Tables) -> DataFrame:
+    """All declarations of the order star checked; only the known repeated key is reported."""
+    return validate_catalog(star(t))
+
+
 @query("pack_report")
 def pack_report(t: Tables) -> DataFrame:
     """A few queries run as a pack, with rows or the error of each."""

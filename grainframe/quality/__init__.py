@@ -10,6 +10,7 @@ from grainframe.quality.checks import (
     check_schema,
     run_pack,
     suggest_binding,
+    validate_catalog,
 )
 
 __all__ = [
@@ -22,4 +23,5 @@ __all__ = [
     "check_schema",
     "run_pack",
     "suggest_binding",
+    "validate_catalog",
 ]

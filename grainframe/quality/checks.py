@@ -32,6 +32,7 @@ def check_schema(dataset: Dataset) -> DataFrame:
                 F.lit(declared).alias("declared"),
                 F.lit(actual.get(column)).cast("string").alias("actual"),
                 F.lit(actual.get(column) == declared).alias("same_type"),
+                F.count(F.lit(1)).alias("rows"),
                 values.alias("not_null"),
                 fits.alias("fitting"),
             )
@@ -126,6 +127,55 @@ def check_edges(catalog: Catalog) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
+def validate_catalog(catalog: Catalog) -> DataFrame:
+    """Everything a catalog declares against its data: one row per broken promise.
+
+    Rows ``(dataset, check, subject, violations)`` for values that do not fit
+    their type, repeated grain or alternate keys, nulls in columns not declared
+    nullable, values outside a domain, and references that need a flag the edge
+    does not have (counting rows for ``?`` and unused keys for ``~``).
+    """
+    found = []
+
+    def report(df: DataFrame, dataset: str, check, subject, violations) -> None:
+        found.append(
+            df.select(
+                F.lit(dataset).alias("dataset"),
+                (F.lit(check) if isinstance(check, str) else check).alias("check"),
+                subject.alias("subject"),
+                violations.cast("long").alias("violations"),
+            )
+        )
+
+    for name, dataset in catalog.datasets.items():
+        if dataset.types:
+            misfits = F.col("not_null") - F.col("fitting")
+            strict = ~F.col("column").isin(*dataset.nullable) if dataset.nullable else F.lit(True)
+            nulls = F.when(strict, F.col("rows") - F.col("not_null")).otherwise(0)
+            both = F.array(
+                F.struct(F.lit("type").alias("kind"), misfits.alias("n")),
+                F.struct(F.lit("not null").alias("kind"), nulls.alias("n")),
+            )
+            columns = check_schema(dataset).select("column", F.inline(both))
+            report(columns, name, F.col("kind"), F.col("column"), F.col("n"))
+        for check, keys in [("grain", dataset.grain), *[("alternate key", (k,)) for k in dataset.alternate_keys]]:
+            repeated = check_grain(dataset.df, keys).agg(F.count(F.lit(1)).alias("n"))
+            report(repeated, name, check, F.lit(",".join(keys)), F.col("n"))
+        for column, values in dataset.domains.items():
+            outside = check_domain(dataset.df, column, values).agg(F.sum("rows").alias("n"))
+            report(outside, name, "domain", F.lit(column), F.coalesce("n", F.lit(0)))
+    for edge in catalog.edges:
+        cover = check_fk(
+            catalog.datasets[edge.source].df, catalog.datasets[edge.target].df, edge.on
+        )
+        if not edge.nullable:
+            loose = F.col("null_rows") + F.col("dangling_rows")
+            report(cover, edge.source, "reference", F.lit(edge.name), loose)
+        if not edge.partial:
+            report(cover, edge.source, "coverage", F.lit(edge.name), F.col("unused_keys"))
+    return reduce(DataFrame.unionByName, found).filter("violations > 0")
+
+
 def candidate_keys(df: DataFrame, columns: Sequence[str], max_columns: int = 2) -> DataFrame:
     """Smallest column sets that identify a row: ``(key_columns, rows)``.
 

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from grainframe.catalog import Dataset
+from grainframe.catalog import Catalog, Dataset, Edge
 from grainframe.prep import (
     apply_fix,
     check_delimited,
@@ -28,6 +28,7 @@ from grainframe.quality import (
     check_schema,
     run_pack,
     suggest_binding,
+    validate_catalog,
 )
 
 
@@ -111,7 +112,7 @@ def test_first_sentence_stands_in(spark):
 def test_schema_report(spark):
     df = spark.createDataFrame([("1",), ("x",)], "a string")
     report = check_schema(Dataset("t", df, ("a",), types={"a": "bigint", "b": "int"}))
-    assert rows(report) == [("a", "bigint", "string", False, 2, 1), ("b", "int", None, False, 0, 0)]
+    assert rows(report) == [("a", "bigint", "string", False, 2, 2, 1), ("b", "int", None, False, 2, 0, 0)]
 
 
 def test_grain_nulls_domain(spark):
@@ -160,3 +161,23 @@ def test_run_pack_reports_every_failure(spark, folder):
     got = {r["query"]: r for r in run_pack(spark, pack, folder).collect()}
     assert got["good"]["passed"] and got["good"]["rows"] == 3
     assert not got["bad"]["passed"] and got["bad"]["error"] == "no such table"
+
+
+def test_validate_catalog_lists_broken_promises(spark):
+    fact = spark.createDataFrame([(1, 10, "a"), (1, 99, "z"), (2, None, None)], "id int, ref int, kind string")
+    dim = spark.createDataFrame([(10, "x"), (20, "x")], "k int, name string")
+    types = {"id": "int", "ref": "int", "kind": "string"}
+    catalog = Catalog()
+    catalog.register(
+        Dataset("fact", fact, ("id",), types, nullable=frozenset({"ref"}), domains={"kind": ("a", "b")})
+    )
+    catalog.register(Dataset("dim", dim, ("k",), alternate_keys=("name",)))
+    catalog.link(Edge("fact", "dim", {"ref": "k"}))
+    assert rows(validate_catalog(catalog)) == [
+        ("dim", "alternate key", "name", 1),
+        ("fact", "coverage", "dim", 1),
+        ("fact", "domain", "kind", 1),
+        ("fact", "grain", "id", 1),
+        ("fact", "not null", "kind", 1),
+        ("fact", "reference", "dim", 2),
+    ]
