@@ -11,10 +11,12 @@ from pyspark.sql.types import StringType
 # Control characters that are removed (tab and newline stay).
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
-# What is cut from encyclopedia summaries.  The first three end the
-# summary wherever they start, so one pattern cuts at the earliest of them.
-TAIL = r"(?s)(?:Species brought into synonymy|== References ==|== External links ==).*"
+# What is cut from encyclopedia summaries, in this order.  Patterns
+# stay apart because a fixed beginning is found much faster than alternatives.
+SYNONYMY = r"(?s)Species brought into synonymy.*"
 SPECIES_SECTION = r"(?s)== Species ==.*?(?===|$)"
+REFERENCES_SECTION = r"(?s)== References ==.*"
+LINKS_SECTION = r"(?s)== External links ==.*"
 CITATION = r"\([^)]*\d{4}[^)]*\)"
 COMMA_YEAR = r",\s*\d{4}"
 AUTHOR_YEAR = r"\b[A-Z][a-z]+\s*,\s*\d{4}"
@@ -26,7 +28,7 @@ TAXONOMY_SECTION = r"(?s)== Taxonomy ==(.*?)(?===|$)"
 # Shorter summaries fall back to the first sentence, if that is longer.
 SHORT = 20
 
-_CUT_SECTIONS = (TAIL, SPECIES_SECTION)
+_CUT_SECTIONS = (SYNONYMY, SPECIES_SECTION, REFERENCES_SECTION, LINKS_SECTION)
 _CUT_CITATIONS = (CITATION, COMMA_YEAR, AUTHOR_YEAR, ARTICLE_IN_PARENS, ARTICLE)
 
 
@@ -128,18 +130,25 @@ def minimise_text(df: DataFrame, column: str) -> DataFrame:
 
     Lists, references and links go, then citations.  If hardly anything is
     left, the first sentence stands in.  The distribution and taxonomy sections
-    are appended.  Works in two steps, so the long chain of replacements is
+    are appended.  Works in two steps, so each long chain of replacements is
     evaluated once per row.
     """
     text = F.col(column)
     short = text
     for pattern in _CUT_SECTIONS:
         short = F.regexp_replace(short, pattern, "")
-    df = df.withColumn("__short", strip_citations(short))
-    sentence = F.regexp_extract(text, r"^[^.!?]*", 0)
-    meagre = (F.length("__short") < SHORT) & (F.length(sentence) > SHORT)
-    parts = [F.when(meagre, _strip(sentence)).otherwise(F.col("__short"))]
-    for pattern in (DISTRIBUTION_SECTION, TAXONOMY_SECTION):
-        parts.append(F.nullif(_strip(F.regexp_extract(text, pattern, 1)), F.lit("")))
-    summary = F.concat_ws(" ", *parts)
-    return df.withColumn(column, F.when(text != "", summary).otherwise(text)).drop("__short")
+    parts = {
+        "__short": strip_citations(short),
+        "__sentence": F.regexp_extract(text, r"^[^.!?]*", 0),
+        "__distribution": _strip(F.regexp_extract(text, DISTRIBUTION_SECTION, 1)),
+        "__taxonomy": _strip(F.regexp_extract(text, TAXONOMY_SECTION, 1)),
+    }
+    staged = df.withColumns(parts)
+    meagre = (F.length("__short") < SHORT) & (F.length("__sentence") > SHORT)
+    summary = F.concat_ws(
+        " ",
+        F.when(meagre, _strip(F.col("__sentence"))).otherwise(F.col("__short")),
+        F.nullif("__distribution", F.lit("")),
+        F.nullif("__taxonomy", F.lit("")),
+    )
+    return staged.withColumn(column, F.when(text != "", summary).otherwise(text)).drop(*parts)
