@@ -9,6 +9,8 @@ from grainframe.functions.geometry import edges_around, ring_bounds, ring_edges
 
 # Each level has cells twice as wide as the one below; 40 levels span a factor of 10^12.
 _LEVELS = 40
+# Levels below the one whose cells are as wide as the polygon's box.
+_FINER = 2
 
 
 def _cell(value: Column, level: Column, cell: float) -> Column:
@@ -27,9 +29,9 @@ def points_in_polygons(
 ) -> DataFrame:
     """Points with the columns of every polygon that contains them (planar).
 
-    A polygon is filed at the level where its box is at most one cell wide and
-    high, so it touches at most four cells however large it is, and the join is
-    an equi join on cells with a box and a ring test.  Points look only at
+    A polygon is filed at the level where its box is at most four cells wide
+    and high, so it touches at most 25 cells however large it is, and the join
+    is an equi join on cells with a box and a ring test.  Points look only at
     levels that hold polygons.  ``cell`` is the width of the finest cells; a
     size near the smallest polygon works best.  The two sides share no column
     names.  ``how="left"`` keeps points without a polygon and needs a unique
@@ -39,7 +41,8 @@ def points_in_polygons(
     span = F.greatest(
         F.col("__box.x1") - F.col("__box.x0"), F.col("__box.y1") - F.col("__box.y0"), F.lit(cell)
     )
-    level = F.least(F.ceil(F.log2(span / F.lit(cell))), F.lit(_LEVELS)).cast("int")
+    wanted = F.ceil(F.log2(span / F.lit(cell))) - _FINER
+    level = F.greatest(F.least(wanted, F.lit(_LEVELS)), F.lit(0)).cast("int")
     filed = bounds.withColumn("__level", level)
 
     def touched(low: str, high: str) -> Column:
