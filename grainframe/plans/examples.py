@@ -36,7 +36,7 @@ from grainframe.operators import (
     topk,
     with_total,
 )
-from grainframe.plans.projection import _band_sql, mean
+from grainframe.plans.projection import band_sql, mean
 from grainframe.plans.registry import query
 from grainframe.plans.tables import Tables, star
 
@@ -110,7 +110,7 @@ def win_rate(t: Tables) -> DataFrame:
 
 @query(
     "ex_generations",
-    f"""SELECT {_band_sql("y", GENERATIONS, "Other")} AS generation, count(*) AS riders
+    f"""SELECT {band_sql("y", GENERATIONS, "Other")} AS generation, count(*) AS riders
         FROM (SELECT CAST(1875 + c_acctbal / 70 AS INTEGER) AS y FROM customer) GROUP BY 1""",
 )
 def generations(t: Tables) -> DataFrame:

@@ -142,7 +142,7 @@ def dim_preserving(t: Tables) -> DataFrame:
 _LOOSE = """(SELECT l_orderkey, l_linenumber, nullif(l_suppkey, 7) + 5 AS supp_ref FROM lineitem)"""
 
 
-def _loose_lines(t: Tables) -> DataFrame:
+def loose_lines(t: Tables) -> DataFrame:
     """Line items whose supplier reference is null for one supplier and off by five.
 
     So some references dangle and some suppliers are never referenced.
@@ -157,7 +157,7 @@ def _loose_lines(t: Tables) -> DataFrame:
         GROUP BY 1""",
 )
 def fact_preserving(t: Tables) -> DataFrame:
-    joined = enrich(_loose_lines(t), t.supplier, {"supp_ref": "s_suppkey"}, ["s_name"], keep="fact")
+    joined = enrich(loose_lines(t), t.supplier, {"supp_ref": "s_suppkey"}, ["s_name"], keep="fact")
     return joined.groupBy("s_name").agg(count_rows().alias("lines"))
 
 
@@ -167,7 +167,7 @@ def fact_preserving(t: Tables) -> DataFrame:
         GROUP BY 1""",
 )
 def both_preserving(t: Tables) -> DataFrame:
-    joined = enrich(_loose_lines(t), t.supplier, {"supp_ref": "s_suppkey"}, ["s_name"], keep="all")
+    joined = enrich(loose_lines(t), t.supplier, {"supp_ref": "s_suppkey"}, ["s_name"], keep="all")
     return joined.groupBy("s_name").agg(F.count("l_orderkey").alias("lines"))
 
 

@@ -221,7 +221,7 @@ def null_logic(t: Tables) -> DataFrame:
     )
 
 
-def _band_sql(column: str, bands, default: str) -> str:
+def band_sql(column: str, bands, default: str) -> str:
     """CASE over bands with inclusive bounds, open where a bound is missing."""
     whens = " ".join(
         f"WHEN {column} >= {-(2**31) if low is None else low} AND {column} <= {2**31 if high is None else high}"
@@ -233,7 +233,7 @@ def _band_sql(column: str, bands, default: str) -> str:
 
 @query(
     "case_bucket",
-    f"""SELECT p_partkey, {_band_sql("p_size", AGE_BANDS, "unknown")} AS age_bucket,
+    f"""SELECT p_partkey, {band_sql("p_size", AGE_BANDS, "unknown")} AS age_bucket,
               CASE WHEN p_size < 1 THEN '0-1' WHEN p_size < 10 THEN '1-10'
                    WHEN p_size < 100 THEN '10-100' ELSE '100+' END AS size_bin
        FROM part""",

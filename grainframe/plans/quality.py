@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainframe.plans.joins import _loose_lines
+from grainframe.plans.joins import loose_lines
 from grainframe.plans.registry import QUERIES, query
-from grainframe.plans.tables import Tables, _types, star
+from grainframe.plans.tables import Tables, types_of, star
 from grainframe.quality import (
     candidate_keys,
     check_domain,
@@ -27,7 +27,7 @@ from grainframe.quality import (
     " UNION ALL ".join(
         f"""SELECT '{column}' AS "column", '{kind}' AS declared, '{kind}' AS actual, true AS same_type,
                    count(*) AS "rows", count({column}) AS not_null, count({column}) AS fitting FROM lineitem"""
-        for column, kind in _types("lineitem").items()
+        for column, kind in types_of("lineitem").items()
     ),
 )
 def schema_report(t: Tables) -> DataFrame:
@@ -74,7 +74,7 @@ _LOOSE = "(SELECT nullif(l_suppkey, 7) + 5 AS r FROM lineitem)"
                         (SELECT r FROM {_LOOSE} WHERE r IS NOT NULL)) AS unused_keys)""",
 )
 def fk_coverage(t: Tables) -> DataFrame:
-    return check_fk(_loose_lines(t), t.supplier, {"supp_ref": "s_suppkey"})
+    return check_fk(loose_lines(t), t.supplier, {"supp_ref": "s_suppkey"})
 
 
 @query(

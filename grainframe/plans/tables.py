@@ -47,7 +47,7 @@ class Tables:
         return scan_parquet(self.spark, f"{self.folder}/{name}.parquet", schema=SCHEMAS[name])
 
 
-def _types(name: str) -> dict[str, str]:
+def types_of(name: str) -> dict[str, str]:
     logical = {"long": "bigint"}
     pairs = [item.strip().split(" ") for item in SCHEMAS[name].split(",")]
     return {column: logical.get(kind, kind) for column, kind in pairs}
@@ -73,7 +73,7 @@ def star(t: Tables) -> Catalog:
                 name,
                 getattr(t, name),
                 grain,
-                types=_types(name),
+                types=types_of(name),
                 alternate_keys=alternate.get(name, ()),
                 traits=units if name == "lineitem" else {},
             )

@@ -8,7 +8,6 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from grainframe.operators import (
-    count_rows,
     global_rank,
     lagged,
     moving_avg,
