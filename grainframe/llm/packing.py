@@ -29,7 +29,7 @@ from grainframe.session import cut_lineage
 REMEMBERED = 400_000
 # Pre-tokens of the vocabulary for plain Latin words; other words go through the library whole.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-zà-öø-ÿ0-9]+")
+_PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _CODECS: dict[str, Codec] = {}
 
 
