@@ -18,7 +18,8 @@ two sets are compared in full.
 4. In the first round each posted token links its sets to one anchor, the set with the
    least of its own tokens; the second round compares what is posted under the same
    token but still lies in different components.  Pairs within a component are never
-   formed.
+   formed, nor are those that a parity bitmap of the sets rules out: the bits in which
+   two bitmaps differ are no more than the tokens in which the sets differ.
 
 Step 2 cuts tokens to 32 bits within a shard; a collision makes a token look shared,
 which lets more sets pass and never loses one.
@@ -43,9 +44,13 @@ from grainframe.llm.words import mix, shingle_sets, slices, words_of
 from grainframe.session import cut_lineage
 
 #: Token codes a shard holds at a time, about.
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 4_000_000
+#: Token codes a map task gathers before it sends them, about.
+SLICE_TOKENS = 2_000_000
 #: Most entries of the table of frequent tokens.
 FREQUENT = 1 << 19
+#: Longs of 64 bits in a set's parity bitmap.
+BITMAP = 8
 ORDERS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x3C6EF372FE94F82B)
 _SHARD_SALT = np.uint64(0xA54FF53A5F1D36F1)
 
@@ -131,7 +136,7 @@ def _packed_tokens(docs: DataFrame, size: int, shards: int) -> DataFrame:
                 tokens, first = shingle_sets(words_of(batch.column("text")), size)
                 parts.append((tokens, np.diff(first), _digests(tokens, first)))
                 pending += len(tokens)
-                if pending >= SHARD_TOKENS:
+                if pending >= SLICE_TOKENS:
                     if (made := pack(parts)) is not None:
                         yield made
                     parts, pending = [], 0
@@ -144,7 +149,11 @@ def _packed_tokens(docs: DataFrame, size: int, shards: int) -> DataFrame:
 
 
 def _shared_counts(packed: DataFrame, frequent_from: int) -> DataFrame:
-    """``digest, shared`` parts per set, and ``token, held`` of frequent tokens, as one frame."""
+    """Per set its tokens and shared tokens by shard, and frequent tokens, as one frame.
+
+    A shard says nothing of a set less than half of whose tokens there are shared, as is
+    so for nearly all sets; :func:`similar_sets` then takes half of them as the most.
+    """
 
     def count(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -154,6 +163,7 @@ def _shared_counts(packed: DataFrame, frequent_from: int) -> DataFrame:
         ]
         full = [b for b in blocks if len(b[2])]
         digests, shared = [b[0] for b in blocks if not len(b[2])], [b[1] for b in blocks if not len(b[2])]
+        sizes = list(shared)
         frequent = held = np.zeros(0, dtype=np.int64)
         if full:
             codes, where = np.unique(np.concatenate([b[2] for b in full]), return_inverse=True)
@@ -163,18 +173,22 @@ def _shared_counts(packed: DataFrame, frequent_from: int) -> DataFrame:
             first = np.concatenate([[0], np.cumsum(counts)])
             sums = np.concatenate([[0], np.cumsum(several)])
             digests.append(np.concatenate([b[0] for b in full]))
+            sizes.append(counts)
             shared.append(sums[first[1:]] - sums[first[:-1]])
             often = np.flatnonzero(held >= frequent_from)
             frequent = (np.int64(shard) << 32) + codes[often].astype(np.int64)
             held = held[often].astype(np.int64)
-        digests, shared = np.concatenate(digests), np.concatenate(shared)
-        some = shared > 0
+        digests, shared, sizes = (np.concatenate(x) for x in (digests, shared, sizes))
+        some = 2 * shared >= sizes
         kind = np.repeat([False, True], [int(some.sum()), len(frequent)])
         key = np.concatenate([digests[some], frequent]).astype(np.int64)
         value = np.concatenate([shared[some], held]).astype(np.int64)
-        return pa.table({"frequent": pa.array(kind), "key": key, "value": value})
+        of = np.concatenate([sizes[some], held]).astype(np.int64)
+        return pa.table({"frequent": pa.array(kind), "key": key, "value": value, "of": of})
 
-    return packed.groupBy("shard").applyInArrow(count, "frequent boolean, key long, value long")
+    return packed.groupBy("shard").applyInArrow(
+        count, "frequent boolean, key long, value long, of long"
+    )
 
 
 class _Orders:
@@ -221,8 +235,12 @@ def similar_sets(docs: DataFrame, threshold: tuple[int, int] = (4, 5), size: int
     )
     often = counted.where("frequent").select("key", "value").toPandas()
     orders = _Orders(often["key"].to_numpy(np.int64), often["value"].to_numpy(np.int64), shards, threshold)
-    shared = counted.where("not frequent").groupBy(F.col("key").alias("digest")).agg(F.sum("value").alias("m"))
-    open_sets = sets.join(shared, "digest").where(f"m * {down} >= n * {up}")
+    shared = counted.where("not frequent").groupBy(F.col("key").alias("digest")).agg(
+        F.sum("value").alias("shared"), F.sum("of").alias("of")
+    )
+    open_sets = sets.join(shared, "digest").withColumn(
+        "m", F.expr("shared + (n - of) div 2")  # the most it can share with others
+    ).where(f"m * {down} >= n * {up}")
 
     def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -230,14 +248,21 @@ def similar_sets(docs: DataFrame, threshold: tuple[int, int] = (4, 5), size: int
                 tokens, first = shingle_sets(words_of(batch.column("text")), size)
                 mine = _digests(tokens, first) == batch.column("digest").to_numpy()
                 raw = [tokens[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
+                bits = [
+                    np.packbits(np.bincount(tokens[a:b] % np.uint64(64 * BITMAP), minlength=64 * BITMAP) & 1)
+                    for a, b in zip(first[:-1].tolist(), first[1:].tolist())
+                ]
+                bits = np.concatenate(bits).view(np.int64)
+                at = pa.array(np.arange(0, len(bits) + 1, BITMAP, dtype=np.int32))
                 made = pa.RecordBatch.from_arrays(
-                    [batch.column(c) for c in ("digest", "n", "m")] + [pa.array(raw, pa.binary())],
-                    ["digest", "n", "m", "tokens"],
+                    [batch.column(c) for c in ("digest", "n", "m")]
+                    + [pa.array(raw, pa.binary()), pa.ListArray.from_arrays(at, pa.array(bits))],
+                    ["digest", "n", "m", "tokens", "bits"],
                 )
                 yield made.filter(pa.array(mine))
 
     formed = docs.join(open_sets, "doc_id").select("digest", "n", "m", "text").mapInArrow(
-        form, "digest long, n long, m long, tokens binary"
+        form, "digest long, n long, m long, tokens binary, bits array<long>"
     )
     formed = cut_lineage(formed, "open-sets")
 
@@ -304,11 +329,14 @@ def similar_sets(docs: DataFrame, threshold: tuple[int, int] = (4, 5), size: int
     split = placed.groupBy("token").agg(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).where("low <> high").select("token")
-    left = cut_lineage(placed.join(split, "token", "left_semi"), "left")
+    bitmap = formed.select("digest", *[F.col("bits")[i].alias(f"b{i}") for i in range(BITMAP)])
+    left = cut_lineage(placed.join(split, "token", "left_semi").join(bitmap, "digest"), "left")
     x, y = left.alias("x"), left.alias("y")
+    differ = " + ".join(f"bit_count(x.b{i} ^ y.b{i})" for i in range(BITMAP))
     rest = x.join(y, F.expr(
         "x.token = y.token and x.digest < y.digest and x.component <> y.component and "
         + feasible("x.", "y.")
+        + f" and ({differ}) * {up + down} <= (x.n + y.n) * {down - up}"
     ))
     late = verify(pairs(rest, "x.digest", "y.digest"))
     if late.limit(1).count():
