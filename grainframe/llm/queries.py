@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from grainframe.llm.decontaminate import find_leaks
+from grainframe.llm.nbsvm import score_quality
 from grainframe.llm.ngram_join import similar_sets
 from grainframe.llm.packing import pack_documents
 from grainframe.llm.pii import find_personal_data
 from grainframe.llm.repetition import repetition_rules
+from grainframe.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,3 +64,25 @@ def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data of every document."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return find_personal_data(docs).drop("text", "redacted", "scores")
+
+
+@_query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items found in documents, a row per document and item."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = find_leaks(docs, _table(spark, folder, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@_query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from four fifths of the labels."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return score_toxicity(docs, _table(spark, folder, "labels")).drop("text")
+
+
+@_query("op7_quality_classifier")
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learnt from two thirds of the labels."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return score_quality(docs, _table(spark, folder, "labels")).drop("text")

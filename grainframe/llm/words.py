@@ -15,8 +15,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+# Kinds of bytes: white space 0, the rest 1; with SPLIT, ASCII punctuation is a kind of its own.
+WHOLE = np.ones(256, dtype=np.uint8)
+WHOLE[[0x20, *range(0x09, 0x0E)]] = 0
+SPLIT = WHOLE.copy()
+SPLIT[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = 2
 _PLAIN = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _FOLDED = _PLAIN.copy()
 _FOLDED[ord("A") : ord("Z") + 1] = _PLAIN[ord("a") : ord("z") + 1]
@@ -68,13 +71,18 @@ def utf8(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words_of(column: pa.Array, fold: bool = True) -> Words:
-    """Words of every text; ``fold`` lower-cases A-Z."""
+def words_of(column: pa.Array, fold: bool = True, kinds: np.ndarray = WHOLE) -> Words:
+    """Words of every text; ``fold`` lower-cases A-Z.
+
+    ``kinds=SPLIT`` also cuts words into runs of punctuation and runs of anything else.
+    """
     data, text_at = utf8(column)
-    inside = ~_SPACE[data]
+    kind = kinds[data]
+    inside = kind > 0
     begin, finish = inside.copy(), inside.copy()
-    begin[1:] &= ~inside[:-1]
-    finish[:-1] &= ~inside[1:]
+    change = kind[1:] != kind[:-1]
+    begin[1:] &= change
+    finish[:-1] &= change
     at = text_at[(text_at < len(data)) & (text_at >= 0)]
     begin[at] = inside[at]
     at = text_at[text_at > 0] - 1
@@ -147,3 +155,18 @@ def shingle_sets(words: Words, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     fresh[first[:-1][per_text > 0]] = True
     kept = np.concatenate([[0], np.cumsum(fresh)])
     return out[fresh], kept[first]
+
+
+def prefix_codes(words: Words, size: int) -> np.ndarray:
+    """Codes of the first ``size`` bytes of each word, A-Z lower-cased."""
+    code = np.zeros(len(words.starts), dtype=np.uint64)
+    for j in range(size):
+        at = words.starts + j
+        byte = _FOLDED[words.data[np.minimum(at, words.ends - 1)]]
+        code = code * _BASE + np.where(at < words.ends, byte, np.uint64(0))
+    return mix(code)
+
+
+def code_of(word: str) -> int:
+    """Code of one word as :func:`words_of` gives it."""
+    return int(words_of(pa.array([word])).codes[0])
