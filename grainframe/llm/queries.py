@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from grainframe.llm.decontaminate import find_leaks
+from grainframe.llm.language_model import score_texts
 from grainframe.llm.nbsvm import score_quality
 from grainframe.llm.ngram_join import similar_sets
 from grainframe.llm.packing import pack_documents
+from grainframe.llm.passages import repeated_passages
 from grainframe.llm.pii import find_personal_data
 from grainframe.llm.repetition import repetition_rules
 from grainframe.llm.toxicity import score_toxicity
+from grainframe.llm.warc import convert_and_read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +89,38 @@ def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Quality of every document, learnt from two thirds of the labels."""
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     return score_quality(docs, _table(spark, folder, "labels")).drop("text")
+
+
+@_query(
+    "op5_warc",
+    """
+    WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+    d AS (SELECT page_id, octet_length(body) AS size, sha1(body) AS sha FROM p),
+    g AS (SELECT *, max(page_id) OVER (PARTITION BY sha) AS holder FROM d)
+    SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, sha AS payload_digest,
+           CASE WHEN size >= 1000 AND holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN size >= 1000 AND holder <> page_id THEN holder END AS refers_to
+    FROM g
+    """,
+)
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page through legacy archives into WARC files and back."""
+    pages = _table(spark, folder, "pages").select(
+        F.col("page_id").alias("key"), "url", F.encode("html", "UTF-8").alias("payload")
+    )
+    return convert_and_read(pages).select(
+        F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@_query("op10_lm_scoring")
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Unigram and trie log probabilities of every document."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return score_texts(docs).drop("text")
+
+
+@_query("op2_substring_dedup")
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words and more that documents share, exactly or with edits."""
+    return repeated_passages(_table(spark, folder, "documents"))
