@@ -47,6 +47,8 @@ from grainframe.session import cut_lineage
 SHARD_TOKENS = 4_000_000
 #: Token codes a map task gathers before it sends them, about.
 SLICE_TOKENS = 2_000_000
+#: Sets a bucket of step 2's answers holds, about.
+BUCKET_SETS = 20_000
 #: Most entries of the table of frequent tokens.
 FREQUENT = 1 << 19
 #: Longs of 64 bits in a set's parity bitmap.
@@ -148,11 +150,12 @@ def _packed_tokens(docs: DataFrame, size: int, shards: int) -> DataFrame:
     )
 
 
-def _shared_counts(packed: DataFrame, frequent_from: int) -> DataFrame:
-    """Per set its tokens and shared tokens by shard, and frequent tokens, as one frame.
+def _shared_counts(packed: DataFrame, frequent_from: int, buckets: int) -> DataFrame:
+    """Tokens and shared tokens of sets, packed by shard and bucket, and frequent tokens.
 
     A shard says nothing of a set less than half of whose tokens there are shared, as is
     so for nearly all sets; :func:`similar_sets` then takes half of them as the most.
+    Rows with a bucket hold one binary of sets, those without one frequent token.
     """
 
     def count(table: pa.Table) -> pa.Table:
@@ -179,15 +182,34 @@ def _shared_counts(packed: DataFrame, frequent_from: int) -> DataFrame:
             frequent = (np.int64(shard) << 32) + codes[often].astype(np.int64)
             held = held[often].astype(np.int64)
         digests, shared, sizes = (np.concatenate(x) for x in (digests, shared, sizes))
-        some = 2 * shared >= sizes
-        kind = np.repeat([False, True], [int(some.sum()), len(frequent)])
-        key = np.concatenate([digests[some], frequent]).astype(np.int64)
-        value = np.concatenate([shared[some], held]).astype(np.int64)
-        of = np.concatenate([sizes[some], held]).astype(np.int64)
-        return pa.table({"frequent": pa.array(kind), "key": key, "value": value, "of": of})
+        some = np.flatnonzero(2 * shared >= sizes)
+        facts = np.stack([digests[some], shared[some], sizes[some]], axis=1).astype("<i8")
+        bucket = facts[:, 0] % buckets
+        used = np.unique(bucket)
+        n = len(frequent)
+        return pa.table({
+            "bucket": pa.array([*used.tolist(), *[None] * n], pa.int64()),
+            "sets": pa.array([*(facts[bucket == b].tobytes() for b in used), *[None] * n], pa.binary()),
+            "token": pa.array([*[None] * len(used), *frequent.tolist()], pa.int64()),
+            "held": pa.array([*[None] * len(used), *held.tolist()], pa.int64()),
+        })
 
     return packed.groupBy("shard").applyInArrow(
-        count, "frequent boolean, key long, value long, of long"
+        count, "bucket long, sets binary, token long, held long"
+    )
+
+
+def _unpacked(counted: DataFrame) -> DataFrame:
+    """``digest, shared, of``: sums over the shards that spoke of the set."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        facts = np.frombuffer(b"".join(table.column("sets").to_pylist()), dtype="<i8").reshape(-1, 3)
+        digest, where = np.unique(facts[:, 0], return_inverse=True)
+        sums = [np.bincount(where, facts[:, k]).astype(np.int64) for k in (1, 2)]
+        return pa.table({"digest": digest, "shared": sums[0], "of": sums[1]})
+
+    return counted.where("bucket is not null").groupBy("bucket").applyInArrow(
+        merge, "digest long, shared long, of long"
     )
 
 
@@ -225,20 +247,18 @@ def similar_sets(docs: DataFrame, threshold: tuple[int, int] = (4, 5), size: int
     up, down = threshold
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     table = cut_lineage(shingle_table(docs, size), "sets")
-    entries = table.agg(F.sum("n_shingles")).first()[0] or 0
+    facts = table.agg(F.sum("n_shingles").alias("entries"), F.count("*").alias("rows")).first()
+    entries, buckets = facts.entries or 0, facts.rows // BUCKET_SETS + 1
     shards = max(1, math.ceil(entries / SHARD_TOKENS))
     sets = table.where("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")
     )
     counted = cut_lineage(
-        _shared_counts(_packed_tokens(docs, size, shards), max(16, -(-entries // FREQUENT))), "shared"
-    )
-    often = counted.where("frequent").select("key", "value").toPandas()
-    orders = _Orders(often["key"].to_numpy(np.int64), often["value"].to_numpy(np.int64), shards, threshold)
-    shared = counted.where("not frequent").groupBy(F.col("key").alias("digest")).agg(
-        F.sum("value").alias("shared"), F.sum("of").alias("of")
+        _shared_counts(_packed_tokens(docs, size, shards), max(16, -(-entries // FREQUENT)), buckets), "shared"
     )
-    open_sets = sets.join(shared, "digest").withColumn(
+    often = counted.where("bucket is null").select("token", "held").toPandas()
+    orders = _Orders(often["token"].to_numpy(np.int64), often["held"].to_numpy(np.int64), shards, threshold)
+    open_sets = sets.join(_unpacked(counted), "digest").withColumn(
         "m", F.expr("shared + (n - of) div 2")  # the most it can share with others
     ).where(f"m * {down} >= n * {up}")
 
