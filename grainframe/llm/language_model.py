@@ -49,8 +49,8 @@ MIN_COUNT = {2: 2, 3: 3}
 DISCOUNT = 0.75
 #: Quantised log10 values: 255 steps of this size, downwards from 0.
 STEP = 0.03
-PENDING = 2_000_000
-SHARD_ROWS = 4_000_000
+PENDING = 1_000_000
+SHARD_ROWS = 2_000_000
 
 ADDED = (
     "struct<n_tokens:bigint,n_known:bigint,train_tokens:bigint,base_score:double,score:double>"
@@ -88,7 +88,7 @@ _OPEN: dict[tuple[str, str], object] = {}
 
 def _opened(folder: str, name: str, reader):
     if (folder, name) not in _OPEN:
-        if len(_OPEN) > 4096:
+        if len(_OPEN) > 1024:
             _OPEN.clear()
         _OPEN[folder, name] = reader(map_file(folder, name))
     return _OPEN[folder, name]
@@ -126,7 +126,9 @@ class _GramShard:
         end = self.pointers[at + 1].astype(np.int64)
         end = np.where(known, end, start)
         rest = np.where(end > start, _VALUES[self.rest[at]], 1.0)
-        return search(self.children, start, end, child.astype(np.uint64)), rest
+        # an unknown word still leaves the context's weight to the lower order
+        end = np.where(child >= 0, end, start)
+        return search(self.children, start, end, np.maximum(child, 0).astype(np.uint64)), rest
 
 
 def _by_shard(level: Level, keys: np.ndarray) -> Iterator[tuple[str, int, np.ndarray]]:
@@ -154,20 +156,14 @@ def grams(level: Level, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarr
     n = len(parent)
     ids, p, rest = np.full(n, -1, dtype=np.int64), np.zeros(n), np.ones(n)
     counts = np.zeros(n, dtype=np.int64)
-    usable = np.where(child >= 0, parent, -1)
-    for name, base, at in _by_shard(level, usable):
-        at = at[usable[at] >= 0]
+    for name, base, at in _by_shard(level, parent):
+        at = at[parent[at] >= 0]
         shard = _opened(level.folder, name, _GramShard)
         found, rest[at] = shard.find(parent[at], child[at])
         hit = found >= 0
         ids[at[hit]] = found[hit] + base
         p[at[hit]] = _VALUES[shard.p[found[hit]]]
         counts[at[hit]] = shard.counts[found[hit]]
-    # an unknown word still leaves the context's weight to the lower order
-    lost = np.flatnonzero((child < 0) & (parent >= 0))
-    for name, _, at in _by_shard(level, parent[lost]):
-        shard = _opened(level.folder, name, _GramShard)
-        rest[lost[at]] = shard.find(parent[lost[at]], np.zeros(len(at), dtype=np.int64))[1]
     return ids, p, rest, counts
 
 
@@ -186,7 +182,10 @@ def _count(docs: DataFrame, keys_of, names: list[str]) -> DataFrame:
 
     def add(parts: list) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*parts)]
-        order = np.lexsort(columns[-2::-1])
+        if len(columns) == 4 and not (columns[0] >> 31).any():  # ids that fit one sort key
+            order = np.argsort((columns[0] << 32) | columns[1])
+        else:
+            order = np.lexsort(columns[-2::-1])
         columns = [c[order] for c in columns]
         fresh = np.ones(len(order), dtype=bool)
         if len(order):
@@ -278,10 +277,9 @@ class Model:
         """Count, unigram probability and the model's probability of each token."""
         ids, counts = word_ids(self.words, keys)
         base = self.base(counts)
-        one, two = _context_pairs(ids, first, 1), _context_pairs(ids, first, 2)
-        _, p2, rest2, _ = grams(self.pairs, one, ids)
+        entry, p2, rest2, _ = grams(self.pairs, _context_pairs(ids, first, 1), ids)
         p = p2 + rest2 * base
-        context = grams(self.pairs, two, one)[0]
+        context = _context_pairs(entry, first, 1)  # the pair that ends before the token
         _, p3, rest3, _ = grams(self.triples, context, ids)
         return counts, base, p3 + rest3 * p
 
@@ -313,12 +311,11 @@ def train(docs: DataFrame, folder: str | None = None) -> Model:
 
     def three(keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
         ids, _ = word_ids(words, keys)
-        one_, two_ = _context_pairs(ids, first, 1), _context_pairs(ids, first, 2)
-        later = grams(pairs, one_, ids)[3]
-        context, _, _, total = grams(pairs, two_, one_)
+        entry, _, _, later = grams(pairs, _context_pairs(ids, first, 1), ids)
+        context = _context_pairs(entry, first, 1)
+        total = np.concatenate([[0], later[:-1]])
         kept = (context >= 0) & (total >= MIN_COUNT[3]) & (later >= MIN_COUNT[3])
-        order = np.lexsort((ids[kept], context[kept]))
-        a, b, t = context[kept][order], ids[kept][order], total[kept][order]
+        a, b, t = context[kept], ids[kept], total[kept]
         return a, b, t, np.ones(len(a), dtype=np.int64)
 
     triple_rows = _count(docs, three, ["parent", "child", "total"]).where(f"n >= {MIN_COUNT[3]}")
