@@ -1,8 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Document frequencies of hashed words over the whole corpus give IDF weights; words in
-   more than ``COMMON`` of the documents carry none.
-2. Benchmark items are cut into passages.  A randomised SVD of their TF-IDF matrix runs
+1. Document frequencies of hashed words over the whole corpus give IDF weights.
+2. Benchmark items are cut into passages, of which the rarer half of the words counts,
+   however frequent: an item that a third of all documents hold is found too.  A
+   randomised SVD of their TF-IDF matrix runs
    as Spark jobs: each range-finder step sums ``A'(A Q)`` by word, so only a matrix of
    words of one block by ``RANK`` reaches the driver.
 3. Every text is read in overlapping windows.  A window's latent vector is compared with
@@ -34,11 +35,10 @@ from grainframe.llm.words import Words, slices, words_of
 from grainframe.session import cut_lineage
 
 BUCKETS = 1 << 18
-COMMON = 0.05
 PASSAGE, STRIDE = 24, 6
 RANK = 128
 COSINE = 0.5
-MIN_HITS = 3
+MIN_HITS = 4
 OVERLAP = 0.6
 ANSWER = 0.34
 BLOCK_ITEMS = 4096
@@ -85,8 +85,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _weights(frequency: np.ndarray, documents: int) -> np.ndarray:
-    idf = np.log((documents + 1) / (frequency + 1)) + 1
-    return np.where(frequency > max(1, COMMON * documents), 0.0, idf).astype(np.float32)
+    return (np.log((documents + 1) / (frequency + 1)) + 0.1).astype(np.float32)
 
 
 def _passages(n: int) -> list[tuple[int, int]]:
@@ -265,9 +264,14 @@ def _blocks(benchmark: DataFrame, weights: np.ndarray, block_items: int) -> Iter
         kept = np.flatnonzero(np.diff(words.first))
         codes = [words.codes[words.first[i] : words.first[i + 1]] for i in kept]
         ids = local.column("item_id").to_pylist()
-        used = np.unique(_buckets(words.codes))
-        used = used[weights[used] > 0]
-        if len(codes) and len(used):
+        rare = set()
+        for c in codes:
+            for start, end in _passages(len(c)):
+                mine = np.unique(_buckets(c[start:end]))
+                mine = mine[np.argsort(-weights[mine], kind="stable")]
+                rare.update(mine[: -(-len(mine) // 2)].tolist())
+        used = np.array(sorted(rare), dtype=np.int64)
+        if len(codes):
             basis = _Basis(used, weights)
             yield _Block([ids[i] for i in kept], codes, basis, latent_words(block, basis))
 
