@@ -6,8 +6,9 @@
    randomised SVD of their TF-IDF matrix runs
    as Spark jobs: each range-finder step sums ``A'(A Q)`` by word, so only a matrix of
    words of one block by ``RANK`` reaches the driver.
-3. Every text is read in overlapping windows.  A window's latent vector is compared with
-   all passages; cosines of at least ``COSINE`` make a candidate.
+3. Every text is read in overlapping windows.  Of those whose squared weights come to
+   ``MASS`` of the lightest passage's, the latent vector is compared with all passages;
+   cosines of at least ``COSINE`` make a candidate.
 4. Candidates are checked on words: the longest common subsequence of the item with the
    text around the window, and the same for the item's end, which holds its answer.
 
@@ -36,9 +37,9 @@ from grainframe.session import cut_lineage
 
 BUCKETS = 1 << 18
 PASSAGE, STRIDE = 24, 6
-RANK = 128
-COSINE = 0.5
-MIN_HITS = 4
+RANK = 64
+COSINE = 0.6
+MASS = 0.4
 OVERLAP = 0.6
 ANSWER = 0.34
 BLOCK_ITEMS = 4096
@@ -180,34 +181,40 @@ class _Block:
     def __init__(self, ids: list, codes: list[np.ndarray], basis: _Basis, vectors: np.ndarray) -> None:
         self.basis, self.vectors = basis, vectors * basis.weight[:, None].astype(np.float32)
         self.ids, self.codes = ids, [c.tolist() for c in codes]
-        owner, latent = [], []
+        owner, latent, masses = [], [], []
         for i, c in enumerate(codes):
             for start, end in _passages(len(c)):
-                v = self.vectors[basis.entries(c[start:end])[1]].sum(0)
+                rows = basis.entries(c[start:end])[1]
+                v = self.vectors[rows].sum(0)
+                masses.append(float((basis.weight[rows] ** 2).sum()))
                 if (norm := np.linalg.norm(v)) > 0:
                     owner.append(i)
                     latent.append(v / norm)
+        self.least = MASS * min(masses)
         self.owner = np.array(owner, dtype=np.int64)
         self.latent = np.array(latent, dtype=np.float32).reshape(-1, vectors.shape[1])
 
     def leaks(self, codes: np.ndarray) -> list[dict]:
         """Leaks of one text given by its word codes."""
         at, rows = self.basis.entries(codes)
-        if len(at) < min(MIN_HITS, len(codes)) or not len(at):
+        if not len(at):
+            return []
+        mass = np.concatenate([[0.0], np.cumsum(self.basis.weight[rows] ** 2)])
+        if mass[-1] < self.least:
             return []
         last = max(0, -(-(len(codes) - PASSAGE) // STRIDE))
         first = np.maximum(0, (at - PASSAGE) // STRIDE + 1)
         starts = np.unique(np.concatenate([first + k for k in range(-(-PASSAGE // STRIDE))]))
         starts = starts[starts <= last] * STRIDE
         low, high = np.searchsorted(at, starts), np.searchsorted(at, starts + PASSAGE)
-        kept = high - low >= min(MIN_HITS, len(codes))
+        kept = mass[high] - mass[low] >= self.least
         starts, low, high = starts[kept], low[kept], high[kept]
         found: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for lo in range(0, len(starts), 4096):
             some = slice(lo, lo + 4096)
             a, b = low[some], high[some]
             base = a[0] if len(a) else 0
-            sums = np.zeros((b.max() - base + 1, self.latent.shape[1]))
+            sums = np.zeros((b.max() - base + 1, self.latent.shape[1]), dtype=np.float32)
             np.cumsum(self.vectors[rows[base : b.max()]], axis=0, out=sums[1:])
             window = sums[b - base] - sums[a - base]
             norm = np.linalg.norm(window, axis=1, keepdims=True)
