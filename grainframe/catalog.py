@@ -145,10 +145,9 @@ class Catalog:
         Columns are named by their full path (dots included).  With
         ``distinct`` the root is reduced to distinct rows before any join.
 
-        Join order follows table sizes.  A branch of small tables is joined to
-        its parent one by one: each is broadcast by its own size, and the
-        parent is not shuffled.  A branch that holds a large table is joined
-        together first, so the parent's rows are shuffled once for it.
+        Joins follow the declared edges outwards from the root, the same for
+        every size of table; which side is broadcast is left to Catalyst and
+        adaptive execution.
         """
         routes = self._routes(root)
         columns: dict[tuple[str, ...], set[str]] = {(): set()}
@@ -169,9 +168,6 @@ class Catalog:
         def children(route: tuple[str, ...]) -> list[tuple[str, ...]]:
             return sorted(r for r in columns if len(r) == len(route) + 1 and r[:-1] == route)
 
-        def is_small(route: tuple[str, ...]) -> bool:
-            return fits_broadcast(table(route)) and all(is_small(c) for c in children(route))
-
         def attach(frame: DataFrame, route: tuple[str, ...], side: DataFrame) -> DataFrame:
             edge = routes[route][-1]
             pairs = [
@@ -182,25 +178,12 @@ class Catalog:
 
         def extend(frame: DataFrame, route: tuple[str, ...]) -> DataFrame:
             for child in children(route):
-                if is_small(child):
-                    frame = extend(attach(frame, child, table(child)), child)
-                else:
-                    frame = attach(frame, child, extend(table(child), child))
+                frame = extend(attach(frame, child, table(child)), child)
             return frame
 
         return extend(table(()), ())
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """True if Catalyst's size of ``df`` is below the session's broadcast threshold.
-
-    Meant for single tables, whose size comes from their files.
-    """
-    threshold = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= threshold
-
-
 def named(path: Sequence[str]) -> Column:
     """Column of a wide frame by its path."""
     return F.col("`" + ".".join(path) + "`")

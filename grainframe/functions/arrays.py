@@ -45,7 +45,9 @@ def sort_desc(items: Column) -> Column:
     return F.sort_array(items, asc=False)
 
 
-def explode_list(df: DataFrame, column: str, separator: str, out: str) -> DataFrame:
-    """One row per trimmed part of a delimited text column; empty parts are dropped."""
+def explode_list(
+    df: DataFrame, column: str, separator: str, out: str, keep_empty: bool = True
+) -> DataFrame:
+    """One row per trimmed part of a delimited text column, empty parts included unless unwanted."""
     parts = F.transform(F.split(F.col(column), re.escape(separator)), lambda p: F.trim(p))
-    return df.withColumn(out, F.explode(F.filter(parts, lambda p: p != "")))
+    return df.withColumn(out, F.explode(parts if keep_empty else F.filter(parts, lambda p: p != "")))

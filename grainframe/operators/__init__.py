@@ -27,6 +27,7 @@ from grainframe.operators.measures import (
     headline,
     latest,
     nest,
+    nest_flat,
     pct_of_parent,
     pct_of_total,
     regrain,
@@ -68,6 +69,7 @@ __all__ = [
     "link_all",
     "moving_avg",
     "nest",
+    "nest_flat",
     "pct_of_parent",
     "pct_of_total",
     "points_in_polygons",

@@ -180,27 +180,33 @@ def nest(
     out: str,
     order: Sequence[str],
     having: Column | None = None,
-    max_items: int = 100_000,
 ) -> DataFrame:
     """Sub-aggregates of each outer group as a list of structs, high to low by ``order``.
 
-    The list has one element per inner value, not per row.  A group with more
-    than ``max_items`` inner values is an error that names the flat form
-    (``groupBy(outer + inner)``) as the way to go; nothing is cut silently.
-    Group sizes are known before any list is built, so no task gathers more
-    than ``max_items`` elements of a group.
+    The list has one element per inner value, not per row, and whole: this form
+    is for inner values that are few by nature.  For groups of any size take
+    :func:`nest_flat`, which keeps one row per element.
     """
     flat = df.groupBy(*outer, *inner).agg(*_aliased(measures))
     if having is not None:
         flat = flat.filter(having)
     fields = [*order, *[c for c in [*inner, *measures] if c not in order]]
-    message = F.lit(f"more than {max_items} inner values: group by outer and inner columns instead")
-    sized = agg_by(flat, {"__size": count_rows()}, list(outer))
-    item = F.when(F.col("__size") > max_items, F.raise_error(message)).otherwise(F.struct(*fields))
-    items = sized.select(*outer, item.alias("__item"))
+    items = flat.select(*outer, F.struct(*fields).alias("__item"))
     return items.groupBy(*outer).agg(F.sort_array(F.collect_list("__item"), asc=False).alias(out))
 
 
+def nest_flat(
+    df: DataFrame,
+    outer: Sequence[str],
+    inner: Sequence[str],
+    measures: Measures,
+    having: Column | None = None,
+) -> DataFrame:
+    """What :func:`nest` lists, as one row per outer group and inner value, for groups of any size."""
+    flat = df.groupBy(*outer, *inner).agg(*_aliased(measures))
+    return flat if having is None else flat.filter(having)
+
+
 def symmetric_measures(names: Sequence[str], sides: Sequence[str], agg=F.sum) -> dict[str, Column]:
     """For each name one measure per side (``side_name``) and their total."""
     out: dict[str, Column] = {}

@@ -106,15 +106,19 @@ def running_total(df: DataFrame, by: str, name: str, measure: Column, out: str)
     """A measure per value of ``by`` and its running sum along ``by``.
 
     Aggregating first makes the order unique, so the running sum has no peers
-    and equals SQL's default frame.
+    and equals SQL's default frame: null measures add nothing, and the total is
+    null until the first value that is not.
     """
     groups = df.groupBy(by).agg(measure.alias(name))
     spread = _spread(groups, [(by, "asc")])
     upto = Window.partitionBy("__part").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
-    local = spread.withColumn("__local", F.sum(name).over(upto))
-    parts = spread.groupBy("__part").agg(F.sum(name).alias("__sum"))
-    offsets = _before(parts, "__sum", "__offset").select("__part", "__offset")
-    joined = local.join(F.broadcast(offsets), "__part")
-    return joined.withColumn(out, F.col("__offset") + F.col("__local")).drop(
-        "__part", "__pos", "__local", "__offset"
+    local = spread.withColumns(
+        {"__local": F.sum(name).over(upto), "__values": F.count(name).over(upto)}
+    )
+    parts = spread.groupBy("__part").agg(F.sum(name).alias("__sum"), F.count(name).alias("__n"))
+    offsets = _before(_before(parts, "__sum", "__offset"), "__n", "__seen")
+    joined = local.join(F.broadcast(offsets.select("__part", "__offset", "__seen")), "__part")
+    total = F.col("__offset") + F.coalesce("__local", F.lit(0))
+    return joined.withColumn(out, F.when(F.col("__values") + F.col("__seen") > 0, total)).drop(
+        "__part", "__pos", "__local", "__values", "__offset", "__seen"
     )

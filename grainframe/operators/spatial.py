@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from grainframe.functions.geometry import edges_around, ring_bounds, ring_edges
 
-# Each level has cells twice as wide as the one below; 40 levels span a factor of 10^12.
-_LEVELS = 40
 # Levels below the one whose cells are as wide as the polygon's box.
 _FINER = 2
 
@@ -42,7 +40,7 @@ def points_in_polygons(
         F.col("__box.x1") - F.col("__box.x0"), F.col("__box.y1") - F.col("__box.y0"), F.lit(cell)
     )
     wanted = F.ceil(F.log2(span / F.lit(cell))) - _FINER
-    level = F.greatest(F.least(wanted, F.lit(_LEVELS)), F.lit(0)).cast("int")
+    level = F.greatest(wanted, F.lit(0)).cast("int")
     filed = bounds.withColumn("__level", level)
 
     def touched(low: str, high: str) -> Column:

@@ -11,6 +11,7 @@ from grainframe.operators import (
     agg_by,
     agg_native,
     agg_of_agg,
+    align,
     collect_label,
     count_keys,
     count_owners,
@@ -35,11 +36,11 @@ from grainframe.plans.tables import Tables
               count(*) AS lines FROM lineitem GROUP BY 1""",
 )
 def count_distinct_keys(t: Tables) -> DataFrame:
-    return t.lineitem.groupBy("l_returnflag").agg(
-        count_keys("l_orderkey").alias("orders"),
-        count_keys("l_suppkey").alias("suppliers"),
-        count_rows().alias("lines"),
-    )
+    """Each key is counted apart, so no row is expanded for several distinct counts."""
+    flags = t.lineitem.groupBy("l_returnflag")
+    orders = flags.agg(count_keys("l_orderkey").alias("orders"), count_rows().alias("lines"))
+    suppliers = flags.agg(count_keys("l_suppkey").alias("suppliers"))
+    return align([orders, suppliers], ["l_returnflag"])
 
 
 @query(

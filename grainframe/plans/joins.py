@@ -403,13 +403,13 @@ def semi_membership(t: Tables) -> DataFrame:
 @query(
     "attribute_enrich",
     """WITH brands AS (SELECT p_brand, count(*) AS brand_parts, round(sum(p_retailprice), 2) / count(*) AS brand_price
-                       FROM part WHERE p_size > 5 GROUP BY 1)
+                       FROM part GROUP BY 1)
        SELECT p_partkey, p.p_brand, brand_parts, brand_price
        FROM part p LEFT JOIN brands b ON p.p_brand = b.p_brand""",
 )
 def attribute_enrich(t: Tables) -> DataFrame:
     """A table of brand facts hung onto the brand of each part."""
-    brands = t.part.filter("p_size > 5").groupBy("p_brand").agg(
+    brands = t.part.groupBy("p_brand").agg(
         count_rows().alias("brand_parts"), mean("p_retailprice").alias("brand_price")
     )
     return enrich(t.part.select("p_partkey", "p_brand"), brands, "p_brand", keep="fact")

@@ -147,20 +147,19 @@ def hash_colors(t: Tables) -> DataFrame:
 @query(
     "math_fns",
     """SELECT l_orderkey, l_linenumber, round(l_extendedprice / 3, 4) AS third,
-              round(l_extendedprice) AS whole, round(log10(l_extendedprice), 6) AS log_price,
+              floor(l_extendedprice + 0.5) AS whole, round(log10(l_extendedprice), 6) AS log_price,
               round(log10(CASE WHEN l_tax = 0 THEN 1 ELSE l_tax END), 6) AS log_tax,
               abs(l_quantity - 25) AS distance, CAST(l_orderkey % 7 AS BIGINT) AS week_part,
               l_quantity * 2 - 1 AS odd
-       FROM lineitem WHERE l_extendedprice <> floor(l_extendedprice) + 0.5""",
+       FROM lineitem""",
 )
 def math_fns(t: Tables) -> DataFrame:
     price, tax = F.col("l_extendedprice"), F.col("l_tax")
-    lines = t.lineitem.filter(price != F.floor(price) + 0.5)
-    return lines.select(
+    return t.lineitem.select(
         "l_orderkey",
         "l_linenumber",
         F.round(price / 3, 4).alias("third"),
-        F.round(price).alias("whole"),
+        F.floor(price + 0.5).cast("double").alias("whole"),  # halves go up, whatever their last bit
         F.round(F.log10(price), 6).alias("log_price"),
         F.round(F.log(10.0, F.when(tax == 0, 1.0).otherwise(tax)), 6).alias("log_tax"),
         F.abs(F.col("l_quantity") - 25).alias("distance"),
@@ -260,7 +259,7 @@ def fuzzy_dates(t: Tables) -> DataFrame:
     "explode_split",
     r"""SELECT lang, count(*) AS lines, count(DISTINCT line) AS distinct_lines
         FROM (SELECT lang, trim(unnest(string_split(text, chr(10)))) AS line FROM documents)
-        WHERE line <> '' GROUP BY 1""",
+        GROUP BY 1""",
 )
 def explode_split(t: Tables) -> DataFrame:
     """Lines of whole documents as rows."""

@@ -149,10 +149,10 @@ def view_by_type(t: Tables) -> DataFrame:
     )
 
 
-@query("ctas_roundtrip", "SELECT p_partkey, p_brand, p_size FROM part WHERE p_size > 10")
+@query("ctas_roundtrip", "SELECT p_partkey, p_brand, p_size FROM part")
 def ctas_roundtrip(t: Tables) -> DataFrame:
-    big = t.part.filter("p_size > 10").select("p_partkey", "p_brand", "p_size")
-    return materialize(big, scratch_path(t.spark, "parts"))
+    parts = t.part.select("p_partkey", "p_brand", "p_size")
+    return materialize(parts, scratch_path(t.spark, "parts"))
 
 
 @query(

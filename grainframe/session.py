@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# One scratch root per application, only used where the cluster names none.
-_LOCAL_ROOTS: dict[str, str] = {}
-
-
 def build_session(app: str = "grainframe", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is tuned for.
 
@@ -36,18 +31,11 @@ def build_session(app: str = "grainframe", master: str | None = None, **conf: st
 
 
 def _scratch_root(spark: SparkSession) -> str:
+    """The folder the cluster names, or one below the session's warehouse, which is shared too."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError(
-            "spark.checkpoint.dir is not set: name a folder every executor can reach"
-        )
-    app = context.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="grainframe-")
-    return _LOCAL_ROOTS[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,8 +76,13 @@ def refresh(
     max_age_days: int,
     as_of: dt.datetime | str,
 ) -> DataFrame:
-    """The stored table, rebuilt to ``write_path`` first if its newest row is too old."""
-    stored = spark.read.parquet(read_path)
+    """The stored table, built to ``write_path`` first if there is none or its newest row is too old."""
+    try:
+        stored = spark.read.parquet(read_path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return materialize(build(), write_path)
     lag = freshness(stored, column, as_of).first()["lag_days"]
     if lag is not None and lag <= max_age_days:
         return stored

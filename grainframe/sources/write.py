@@ -61,11 +61,12 @@ def csv_to_parquet(spark: SparkSession, source: str, target: str, schema: Schema
 def append_new(target: str, incoming: DataFrame, key: str) -> DataFrame:
     """Append incoming rows whose key the target does not hold yet.
 
-    Of incoming rows that share a key one is kept.  Only the key column of the
-    target is read; running the job again adds nothing.
+    Of incoming rows that share a key one is kept.  A null key is a key like any
+    other.  Only the key column of the target is read; running the job again adds
+    nothing.
     """
     spark = incoming.sparkSession
     known = spark.read.parquet(target).select(F.col(key).alias("__known")).distinct()
-    fresh = incoming.dropDuplicates([key]).join(known, F.col(key) == F.col("__known"), "left_anti")
+    fresh = incoming.dropDuplicates([key]).join(known, F.col(key).eqNullSafe(F.col("__known")), "left_anti")
     fresh.write.mode("append").parquet(target)
     return spark.read.schema(incoming.schema).parquet(target)

@@ -133,7 +133,9 @@ def test_tags(spark):
 def test_lists(spark):
     assert values(spark, [[1, 3, None, 2]], sort_desc, "array<int>") == [[3, 2, 1, None]]
     df = spark.createDataFrame([(1, "a| b ||c"), (2, ""), (3, None)], "i int, v string")
-    assert rows(explode_list(df, "v", "|", "part"), "i", "part") == [(1, "a"), (1, "b"), (1, "c")]
+    full = [(1, "a"), (1, "b"), (1, "c")]
+    assert rows(explode_list(df, "v", "|", "part", keep_empty=False), "i", "part") == full
+    assert rows(explode_list(df, "v", "|", "part"), "i", "part") == [(1, ""), *full, (2, "")]
 
 
 def test_traits_survive_filters(spark):

@@ -2,7 +2,6 @@
 
 import pytest
 from conftest import rows
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from grainframe.functions import calc_percent, only_if, ratio
@@ -17,6 +16,7 @@ from grainframe.operators import (
     headline,
     latest,
     nest,
+    nest_flat,
     pct_of_parent,
     pct_of_total,
     regrain,
@@ -114,12 +114,14 @@ def test_label_without_limit(owners):
     assert rows(collect_label(owners, ["grp"], "v", "label"))[0] == ("g", "a, b, c, d, e, f")
 
 
-def test_nest_sorts_filters_and_refuses_large_groups(owners):
+def test_nest_sorts_filters_and_takes_groups_of_any_size(spark, owners):
     got = nest(owners, ["grp"], ["v"], {"n": count_rows()}, "items", ["n"], having=F.col("n") > 1)
     items = got.filter("grp = 'g'").first()["items"]
     assert [tuple(i) for i in items] == [(3, v) for v in "fedcba"]
-    with pytest.raises(PySparkException, match="inner values"):
-        nest(owners, ["grp"], ["v"], {"n": count_rows()}, "items", ["n"], max_items=5).collect()
+    many = spark.range(100_002).selectExpr("'g' AS grp", "id AS v")
+    whole = nest(many, ["grp"], ["v"], {"n": count_rows()}, "items", ["n"])
+    assert whole.select(F.size("items")).first()[0] == 100_002
+    assert nest_flat(many, ["grp"], ["v"], {"n": count_rows()}).count() == 100_002
 
 
 def test_symmetric_measures(spark):

@@ -123,3 +123,14 @@ def test_union_sides_reads_once(spark):
     )
     assert rows(got) == [(1, "away", "y", 4), (1, "home", "x", 3)]
     assert "Union" not in plan_of(got)
+
+
+def test_running_total_over_null_measures(spark):
+    df = spark.range(64).selectExpr("id", "CASE WHEN id % 4 = 3 AND id > 8 THEN id END AS m")
+    got = rows(running_total(df, "id", "s", F.sum("m"), "total"), "id", "total")
+    total, want = None, []
+    for i in range(64):
+        if i % 4 == 3 and i > 8:
+            total = (total or 0) + i
+        want.append((i, total))
+    assert got == want
