@@ -86,7 +86,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _weights(frequency: np.ndarray, documents: int) -> np.ndarray:
-    return (np.log((documents + 1) / (frequency + 1)) + 0.1).astype(np.float32)
+    return (np.log((documents + 1) / (frequency + 1)) + 1).astype(np.float32)
 
 
 def _passages(n: int) -> list[tuple[int, int]]:
