@@ -55,6 +55,12 @@ HEADLINE = (
     "grain_violations",
     "fk_coverage",
     "candidate_keys",
+    "validate_model",
+    "check_edges",
+    "suggest_binding",
+    "explode_split",
+    "star_select_partial",
+    "ex_cumulative_fleet",
 )
 
 

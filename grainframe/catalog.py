@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -207,8 +208,9 @@ def star_select(
     aligned on the output columns.
 
     ``where`` holds ``(path or paths, condition)`` and filters inputs of every
-    measure.  When all output columns hang on one partial edge and no filter
-    looks elsewhere, members without facts stay, with ``empty`` values.
+    measure.  When all output columns hang on a chain with partial edges, members
+    without facts stay, with ``empty`` values: those behind the last partial edge
+    that every filter is behind too, so no hop of the chain loses any.
     """
 
     def find(path: str) -> tuple[tuple[str, ...], str]:
@@ -256,13 +258,7 @@ def star_select(
         ]
         frames.append(frame.groupBy(*groups).agg(*aggregates))
 
-    heads = {route[:1] for route, _ in groups.values()}
-    if len(heads) == 1 and heads != {()}:
-        head = heads.pop()
-        edge = catalog._routes(root)[head][-1]
-        local = all(route[:1] == head for places, _ in filters for route, _ in places)
-        if edge.partial and local:
-            frames.append(_members(catalog, edge, groups, filters))
+    frames += [_members(catalog, root, at, groups, filters) for at in _kept(catalog, root, groups, filters)]
     out = align(frames, list(groups)) if groups and len(frames) > 1 else frames[0]
     if not groups and len(frames) > 1:
         out = align([f.withColumn("__one", F.lit(1)) for f in frames], ["__one"]).drop("__one")
@@ -276,12 +272,35 @@ def star_select(
     return out.limit(limit) if limit is not None else out
 
 
-def _members(catalog: Catalog, edge: Edge, groups: Mapping, filters: Sequence) -> DataFrame:
-    """Distinct output columns of the dimension behind ``edge``, facts or not."""
-    inner_groups = {out: (route[1:], column) for out, (route, column) in groups.items()}
-    tests = [([(r[1:], c) for r, c in places], condition) for places, condition in filters]
+def _kept(catalog: Catalog, root: str, groups: Mapping, filters: Sequence) -> list[tuple[str, ...]]:
+    """Routes of the datasets whose members stay without facts.
+
+    The last partial edge that all output columns and filters are behind: its
+    dataset holds whatever earlier ones lead to, except the rows of an earlier
+    one that lead nowhere over a nullable edge.
+    """
+    routes = [route for route, _ in groups.values()]
+    routes += [route for places, _ in filters for route, _ in places]
+    if not groups:
+        return []
+    chain = tuple(steps[0] for steps in takewhile(lambda s: len(set(s)) == 1, zip(*routes)))
+    if not chain:
+        return []
+    edges = catalog._routes(root)[chain]
+    partial = [i for i, edge in enumerate(edges) if edge.partial]
+    loose = [i for i in partial[:-1] if any(edge.nullable for edge in edges[i + 1 : partial[-1] + 1])]
+    return [chain[: i + 1] for i in [*loose, *partial[-1:]]]
+
+
+def _members(
+    catalog: Catalog, root: str, at: tuple[str, ...], groups: Mapping, filters: Sequence
+) -> DataFrame:
+    """Distinct output columns of the dimension at ``at``, facts or not."""
+    skip = len(at)
+    inner_groups = {out: (route[skip:], column) for out, (route, column) in groups.items()}
+    tests = [([(r[skip:], c) for r, c in places], condition) for places, condition in filters]
     needed = [*inner_groups.values(), *[p for places, _ in tests for p in places]]
-    frame = catalog.wide(edge.target, needed)
+    frame = catalog.wide(catalog._routes(root)[at][-1].target, needed)
     for places, condition in tests:
         frame = frame.filter(condition(*[named((*r, c)) for r, c in places]))
     return frame.select(

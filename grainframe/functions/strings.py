@@ -41,7 +41,7 @@ def strip_flag(value: Column, flag: str = "?", missing: str = "NA", blank: str =
 
 def hash_color(value: Column, low: int = 48, span: int = 200, shift: int = 97) -> Column:
     """A stable ``#rrggbb`` colour for a label that has no assigned one."""
-    code = F.xxhash64(value)
+    code = F.conv(F.substring(F.md5(value), 1, 8), 16, 10).cast("long")
     base = (F.pmod(code, F.lit(span)) + low).cast("int")
     other = (F.pmod(F.pmod(code, F.lit(span)) + shift, F.lit(span)) + low).cast("int")
     return F.format_string("#%02x%02x%02x", base, base, other)

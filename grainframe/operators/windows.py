@@ -62,10 +62,11 @@ def _along(order: str, within: Sequence[str]):
 def lagged(
     groups: DataFrame, measure: str, order: str, n: int = 1, within: Sequence[str] = (), out: str = "previous"
 ) -> DataFrame:
-    """Value ``n`` periods back and growth in percent.
+    """Value ``n`` rows back and growth in percent.
 
     ``groups`` has one row per calendar period (and ``within`` group), so a
-    window sees at most the periods of a calendar.
+    window sees at most the periods of a calendar.  A period without a row is
+    not counted: fill the calendar first where the growth must be per period.
     """
     previous = F.lag(measure, n).over(_along(order, within))
     change = ratio((F.col(measure) - F.col(out)) * 100, F.col(out))

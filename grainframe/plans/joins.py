@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from grainframe.catalog import Measure, star_select
+from grainframe.catalog import Catalog, Measure, star_select
 from grainframe.functions import box_ring, month_start, root_domain, split_part
 from grainframe.operators import (
     bridge,
@@ -122,6 +124,57 @@ def star_select_partial(t: Tables) -> DataFrame:
     )
 
 
+def _thin_star(t: Tables) -> Catalog:
+    """The order star without customers of two nations and without orders of every fifth customer."""
+    catalog = star(t)
+    few = {
+        "customer": F.col("c_nationkey") > 1,
+        "orders": F.col("o_custkey") % 5 != 0,
+    }
+    for name, kept in few.items():
+        held = catalog.datasets[name]
+        catalog.register(replace(held, df=held.df.filter(kept)))
+    return catalog
+
+
+@query(
+    "star_select_chain",
+    """WITH f AS (SELECT c_nationkey, l_linenumber, l_quantity
+                  FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND o_custkey % 5 <> 0
+                  JOIN customer ON o_custkey = c_custkey AND c_nationkey > 1)
+       SELECT n_name AS nation, count(l_linenumber) AS lines, sum(l_quantity) AS quantity
+       FROM nation LEFT JOIN f ON n_nationkey = c_nationkey GROUP BY 1""",
+)
+def star_select_chain(t: Tables) -> DataFrame:
+    """Nations behind three partial edges; those without customers stay with a zero count."""
+    return star_select(
+        _thin_star(t),
+        "lineitem",
+        {"nation": "order.customer.nation.n_name"},
+        {"lines": Measure(("l_linenumber",), F.count, empty=0), "quantity": Measure.sum("l_quantity")},
+    )
+
+
+@query(
+    "star_select_chain_filtered",
+    """WITH f AS (SELECT o_custkey, l_linenumber
+                  FROM lineitem JOIN orders ON l_orderkey = o_orderkey AND o_custkey % 5 <> 0)
+       SELECT c_custkey AS customer, n_name AS nation, count(l_linenumber) AS lines
+       FROM customer JOIN nation ON c_nationkey = n_nationkey AND c_nationkey > 1
+       LEFT JOIN f ON o_custkey = c_custkey
+       WHERE c_mktsegment = 'BUILDING' GROUP BY 1, 2""",
+)
+def star_select_chain_filtered(t: Tables) -> DataFrame:
+    """Customers of one segment, without orders or with; the filter is behind their edge as well."""
+    return star_select(
+        _thin_star(t),
+        "lineitem",
+        {"customer": "order.customer.c_custkey", "nation": "order.customer.nation.n_name"},
+        {"lines": Measure(("l_linenumber",), F.count, empty=0)},
+        where=[("order.customer.c_mktsegment", lambda c: c == "BUILDING")],
+    )
+
+
 @query(
     "dim_preserving",
     """SELECT o_orderkey, o_orderstatus, count(l_orderkey) AS lines,

@@ -137,9 +137,15 @@ def null_fns(t: Tables) -> DataFrame:
     )
 
 
-@query("hash_color")
+@query(
+    "hash_color",
+    """SELECT p_brand, parts, printf('#%02x%02x%02x', base, base, other) AS color FROM (
+         SELECT p_brand, parts, code % 200 + 48 AS base, (code % 200 + 97) % 200 + 48 AS other FROM (
+           SELECT p_brand, count(*) AS parts, CAST('0x' || substr(md5(p_brand), 1, 8) AS BIGINT) AS code
+           FROM part GROUP BY 1))""",
+)
 def hash_colors(t: Tables) -> DataFrame:
-    """A colour per brand; the hash is Spark's, so there is no equal SQL elsewhere."""
+    """A colour per brand."""
     brands = t.part.groupBy("p_brand").agg(count_rows().alias("parts"))
     return brands.withColumn("color", hash_color(F.col("p_brand")))
 

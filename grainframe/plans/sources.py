@@ -68,6 +68,36 @@ def scan_tsv_roundtrip(t: Tables) -> DataFrame:
     return scan_tsv(t.spark, path, SCHEMAS["customer"])
 
 
+@query("scan_csv_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def scan_csv_documents(t: Tables) -> DataFrame:
+    """Texts with line breaks and quotes through CSV and back."""
+    path = scratch_path(t.spark, "documents-csv")
+    writer = t.documents.write.option("header", "true").option("escape", '"')
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    writer.options(**kept).csv(path)
+    return scan_csv(t.spark, path, SCHEMAS["documents"])
+
+
+@query("scan_csv_inferred", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
+def scan_csv_inferred(t: Tables) -> DataFrame:
+    """Types from the whole file; whole numbers and times are widened to those of the table."""
+    path = scratch_path(t.spark, "orders-inferred")
+    t.orders.write.option("header", "true").csv(path)
+    whole, time = F.col("o_orderkey").cast("long"), F.col("o_orderdate").cast("timestamp_ntz")
+    read = scan_csv(t.spark, path)
+    return read.select(
+        whole.alias("o_orderkey"), "o_orderstatus", "o_totalprice", time.alias("o_orderdate")
+    )
+
+
+@query("scan_tsv_inferred", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def scan_tsv_inferred(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "customer-inferred")
+    t.customer.write.option("header", "true").option("sep", "\t").csv(path)
+    read = scan_tsv(t.spark, path)
+    return read.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name", "c_acctbal")
+
+
 @query(
     "bind_columns",
     """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation_id,
@@ -190,6 +220,15 @@ def csv_to_parquet_job(t: Tables) -> DataFrame:
     return csv_to_parquet(t.spark, source, target, SCHEMAS["supplier"])
 
 
+@query("csv_to_parquet_inferred", "SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, s_acctbal FROM supplier")
+def csv_to_parquet_inferred(t: Tables) -> DataFrame:
+    """The conversion without a schema."""
+    source = scratch_path(t.spark, "suppliers-plain-csv")
+    t.supplier.write.option("header", "true").csv(source)
+    stored = csv_to_parquet(t.spark, source, scratch_path(t.spark, "suppliers-plain"))
+    return stored.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name", "s_acctbal")
+
+
 @query(
     "incremental_new_keys",
     """SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, count(*) AS orders,

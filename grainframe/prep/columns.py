@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +12,19 @@ from pyspark.sql.types import StructType
 
 
 def fix_headers(names: Sequence[str]) -> list[str]:
-    """Trimmed names; blanks become ``column_<position>``, repeats get ``_2``, ``_3``, ..."""
-    seen: Counter[str] = Counter()
-    fixed = []
+    """Trimmed names; blanks become ``column_<position>``, repeats get ``_2``, ``_3``, ...
+
+    Numbers that would repeat another name, given or made, are passed over.
+    """
+    given = {name.strip() for name in names} - {""}
+    fixed: list[str] = []
     for position, name in enumerate(names, start=1):
-        name = name.strip() or f"column_{position}"
-        seen[name] += 1
-        fixed.append(name if seen[name] == 1 else f"{name}_{seen[name]}")
+        base = name.strip() or f"column_{position}"
+        taken = given.union(fixed) if not name.strip() else set(fixed)
+        if base in taken:
+            numbered = (f"{base}_{n}" for n in count(2))
+            base = next(new for new in numbered if new not in given.union(fixed))
+        fixed.append(base)
     return fixed
 
 

@@ -10,10 +10,24 @@ from pyspark.sql import functions as F
 from grainframe.prep.columns import fix_headers
 
 
-def _fields(line: Column, sep: str, quote: str = '"') -> Column:
+_QUOTED = '"[^"]*"'
+
+
+def _fields(line: Column, sep: str) -> Column:
     """Number of fields of a line; separators inside quotes do not count."""
-    bare = F.regexp_replace(line, f"{quote}[^{quote}]*{quote}", "")
-    return F.size(F.split(bare, re.escape(sep)))
+    return F.size(F.split(F.regexp_replace(line, _QUOTED, ""), re.escape(sep)))
+
+
+def _names(header: str, sep: str) -> list[str]:
+    """Names of a header line, split by the rule of ``_fields``."""
+    inside = [found.span() for found in re.finditer(_QUOTED, header)]
+    outer = [
+        cut.span()
+        for cut in re.finditer(re.escape(sep), header)
+        if not any(start <= cut.start() < end for start, end in inside)
+    ]
+    starts, ends = [0, *[end for _, end in outer]], [*[start for start, _ in outer], len(header)]
+    return [header[a:b].strip().strip('"') for a, b in zip(starts, ends)]
 
 
 def _header(lines: DataFrame, header: str | None) -> str | None:
@@ -43,10 +57,10 @@ def check_delimited(
             F.col("fields").cast("int"),
             F.lit(0).alias("expected"),
         )
-    names = [n.strip().strip('"') for n in first.split(sep)]
+    names = _names(first, sep)
     width = len(names)
     count = _fields(F.col("value"), sep)
-    ragged = lines.filter((F.col("value") != first) & (F.col("value") != "") & (count != width))
+    ragged = lines.filter((F.col("value") != "") & (count != width))
     out = ragged.select(
         F.lit("ragged row").alias("problem"),
         F.col("value").alias("detail"),
@@ -68,16 +82,20 @@ def read_commented_tsv(
     """Delimited text whose first line is the header (marked or not) and with comment lines.
 
     Comment and empty lines are dropped, fields are trimmed, all columns are
-    text.  A folder of files without headers needs ``header``.
+    text.  A header in the file is the first line of each file; lines equal to it
+    further down are data.  A folder of files without headers needs ``header``.
     """
-    lines = spark.read.text(path)
-    header = _header(lines, header)
-    if header is None:
+    first = _header(spark.read.text(path), header)
+    if first is None:
         raise ValueError(f"no header line in {path}")
-    names = fix_headers(header.lstrip(mark).strip().split(sep))
-    text = F.trim("value")
-    data = lines.filter((F.col("value") != header) & (text != "") & ~text.startswith(mark))
-    schema = ", ".join(f"c{i} string" for i in range(len(names)))
-    options = {"sep": sep, "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}
-    row = data.select(F.from_csv("value", schema, options).alias("r")).select("r.*")
-    return row.toDF(*names)
+    names = fix_headers(first.lstrip(mark).strip().split(sep))
+    rows = (
+        spark.read.schema(", ".join(f"c{i} string" for i in range(len(names))))
+        .option("sep", sep)
+        .option("comment", mark)
+        .option("header", header is None and not first.startswith(mark))
+        .option("ignoreLeadingWhiteSpace", True)
+        .option("ignoreTrailingWhiteSpace", True)
+        .csv(path)
+    )
+    return rows.filter(~F.coalesce(F.col("c0").startswith(mark), F.lit(False))).toDF(*names)

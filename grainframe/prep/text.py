@@ -65,7 +65,10 @@ def decode_text(df: DataFrame, column: str, mode: str = "ignore") -> DataFrame:
     return df.withColumn(column, value)
 
 
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_DIGITS = r"\d+(_\d+)*"
+_FINITE = rf"({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?"
+#: Numbers with digit groups, ``nan`` and ``inf`` included.
+NUMBER = rf"^\s*[+-]?({_FINITE}|(?i:inf(inity)?|nan))\s*$"
 
 
 def null_sentinels(df: DataFrame, sentinel: str = "-", columns: Sequence[str] | None = None) -> DataFrame:

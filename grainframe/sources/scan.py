@@ -1,4 +1,8 @@
-"""File scans.  Pass a schema for large inputs: inference reads the text once more."""
+"""File scans.  Pass a schema for large inputs: inference reads the text once more.
+
+Quoted fields of delimited text may hold line breaks, so one task reads a whole
+file.  Where every record is one line, ``multiLine="false"`` splits large files.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +25,7 @@ def scan_parquet(
 
 def _delimited(spark: SparkSession, path: str, sep: str, schema: Schema | None, **options) -> DataFrame:
     reader = spark.read.option("header", "true").option("sep", sep).option("escape", '"')
+    reader = reader.option("multiLine", "true")
     for key, value in options.items():
         reader = reader.option(key, value)
     if schema is None:

@@ -269,3 +269,24 @@ def test_refresh_builds_from_nothing(spark, tmp_path):
     path = str(tmp_path / "none")
     built = refresh(spark, path, path, "d", lambda: spark.sql("SELECT date'2024-01-01' AS d"), 1, "2024-01-02")
     assert built.count() == 1 and spark.read.parquet(path).count() == 1
+
+
+def test_quoted_line_breaks_survive_csv(spark, tmp_path):
+    path = tmp_path / "breaks.csv"
+    path.write_text('id,text\n1,"two\nlines, ""quoted"""\n2,plain\n')
+    got = scan_csv(spark, str(path), "id long, text string")
+    assert sorted(map(tuple, got.collect())) == [(1, 'two\nlines, "quoted"'), (2, "plain")]
+
+
+def test_members_behind_a_nullable_edge_of_a_partial_chain(spark):
+    catalog = Catalog()
+    catalog.register(Dataset("sale", spark.sql("SELECT 1 AS sale_id, 1 AS shop_id"), ("sale_id",)))
+    shops = spark.sql("SELECT * FROM VALUES (1, 1), (2, NULL) AS s(shop_key, town_ref)")
+    catalog.register(Dataset("shop", shops, ("shop_key",)))
+    towns = spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'b') AS s(town_key, town)")
+    catalog.register(Dataset("town", towns, ("town_key",)))
+    catalog.link(Edge("sale", "shop", {"shop_id": "shop_key"}, "shop", partial=True))
+    catalog.link(Edge("shop", "town", {"town_ref": "town_key"}, "town", partial=True, nullable=True))
+    sales = Measure(("sale_id",), F.count, empty=0)
+    out = star_select(catalog, "sale", {"town": "shop.town.town"}, {"sales": sales})
+    assert {tuple(r) for r in out.collect()} == {("a", 1), ("b", 0), (None, 0)}

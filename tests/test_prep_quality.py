@@ -51,6 +51,11 @@ def test_headers():
     assert fix_headers([" a ", "", "a", "b", "a", ""]) == ["a", "column_2", "a_2", "b", "a_3", "column_6"]
 
 
+def test_repaired_headers_are_unique():
+    assert fix_headers(["price", "price", "price_2"]) == ["price", "price_3", "price_2"]
+    assert fix_headers(["", "column_1", "x"]) == ["column_1_2", "column_1", "x"]
+
+
 def test_snake_and_flatten(spark):
     df = spark.sql("SELECT 1 AS tableId, named_struct('cityName', 'x', 'geo', named_struct('lat', 2.0D)) AS placeInfo")
     assert flatten(df).columns == ["tableId", "placeInfo_cityName", "placeInfo_geo_lat"]
@@ -69,6 +74,18 @@ def test_ragged_and_headers(spark, tmp_path):
     ]
 
 
+def test_quoted_header_counts_like_data(spark, tmp_path):
+    path = tmp_path / "quoted.csv"
+    path.write_text('id,"last, first"\n1,"Doe, Jo"\n2,x\n3\n')
+    assert rows(check_delimited(spark, str(path)), "problem", "detail") == [("ragged row", "3")]
+
+
+def test_line_equal_to_the_header_is_data(spark, tmp_path):
+    path = tmp_path / "plain.tsv"
+    path.write_text("Code\tName\nA1\tAlpha\nCode\tName\n")
+    assert rows(read_commented_tsv(spark, str(path))) == [("A1", "Alpha"), ("Code", "Name")]
+
+
 def test_commented_tsv(spark, tmp_path):
     path = tmp_path / "sites.tsv"
     path.write_text("#Code\tName\n# note\nA1\t  Alpha \n\n  # more\nB2\tBeta\n")
@@ -82,6 +99,12 @@ def test_sentinels_only_in_numeric_columns(spark):
     assert rows(null_sentinels(df)) == [("1.5", "x", "-"), ("2e3", "y", ""), (None, "-", "-")]
 
 
+def test_sentinels_beside_special_numbers(spark):
+    data = [("nan", "1_000"), ("-inf", "-"), ("-", "2")]
+    df = spark.createDataFrame(data, "a string, b string")
+    assert rows(null_sentinels(df)) == [("-inf", None), ("nan", "1_000"), (None, "2")]
+
+
 def test_fix_and_flags(spark):
     df = spark.createDataFrame([("LES", "F"), ("S1", "1")], "name string, no string")
     assert rows(apply_fix(df, F.col("name") == "LES", "no", "E")) == [("LES", "E"), ("S1", "1")]
