@@ -26,7 +26,7 @@ from pyspark.sql import Window
 from grainframe.session import cut_lineage
 
 #: Words kept with their ids per Python worker; beyond it the memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 # Pre-tokens of the vocabulary for plain Latin words; other words go through the library whole.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -64,10 +64,10 @@ class Codec:
             block = new[low : low + 20_000]
             got = self.model.encode(" ".join(block), add_special_tokens=False)
             ids, owner = np.array(got.ids, dtype="<u4"), np.array(got.word_ids)
-            bounds = np.searchsorted(owner, np.arange(len(block) + 1))
+            bounds = (4 * np.searchsorted(owner, np.arange(len(block) + 1))).tolist()
             raw = ids.tobytes()
-            for i, part in enumerate(block):
-                self.parts[part] = raw[4 * bounds[i] : 4 * bounds[i + 1]]
+            for part, start, stop in zip(block, bounds, bounds[1:]):
+                self.parts[part] = raw[start:stop]
         for word, parts in cut.items():
             self.words[word] = (
                 self._whole(word) if parts is None else b"".join([self.parts[p] for p in parts])
@@ -78,15 +78,20 @@ class Codec:
             None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ")
             for t in texts
         ]
-        fresh = {w for words in split if words for w in words if w not in self.words}
-        if fresh:
-            if len(self.words) > REMEMBERED:
-                fresh = {w for words in split if words for w in words}
-            self._learn(fresh)
-        known = self.words.__getitem__
+        known = [words and list(map(self.words.get, words)) for words in split]
+        holes = [
+            (ids, at, words[at])
+            for words, ids in zip(split, known)
+            if ids and None in ids
+            for at, code in enumerate(ids)
+            if code is None
+        ]
+        if holes:
+            self._learn({word for _, _, word in holes})
+            for ids, at, word in holes:
+                ids[at] = self.words[word]
         return [
-            self._whole(text) if words is None else b"".join(map(known, words))
-            for text, words in zip(texts, split)
+            self._whole(text) if ids is None else b"".join(ids) for text, ids in zip(texts, known)
         ]
 
 
