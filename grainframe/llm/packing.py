@@ -14,6 +14,7 @@ each; an empty table gives an empty result; extra columns are not carried.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +30,9 @@ from grainframe.session import cut_lineage
 REMEMBERED = 800_000
 # Pre-tokens of the vocabulary for plain Latin words; other words go through the library whole.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
-_PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+_PRE = re.compile(r" |'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 ]+")
+#: Stands between words while their ids are joined; no id has these bytes.
+_BORDER = b"\xff\xff\xff\xff"
 _CODECS: dict[str, Codec] = {}
 
 
@@ -37,8 +40,9 @@ class Codec:
     """Token ids of texts as little-endian 32-bit bytes.
 
     The vocabulary drops white space between words, so a text's ids are those of its
-    words in turn; words and their parts are encoded once and remembered.  A text that
-    spells a special token is encoded whole.
+    words in turn; words and their parts are encoded once and remembered.  Parts of plain
+    Latin words go straight to the merges, spelt as the pre-tokeniser spells their
+    characters.  A text that spells a special token is encoded whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,52 +50,44 @@ class Codec:
 
         self.model = Tokenizer.from_file(path)
         self.special = [t.content for t in self.model.get_added_tokens_decoder().values()]
+        spell = self.model.pre_tokenizer.pre_tokenize_str
+        plain = filter(_PLAIN.fullmatch, map(chr, range(256)))
+        self.spelling = str.maketrans({c: spell(c)[0][0] for c in plain})
         self.words: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {" ": _BORDER}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _learn(self, words: set[str]) -> None:
+        plain = list(filter(_PLAIN.fullmatch, words))
+        self.words.update((word, self._whole(word)) for word in words.difference(plain))
+        if not plain:
+            return
+        cut = _PRE.findall(" ".join(plain).lower())
+        new = list(set(cut).difference(self.parts))
+        merge = self.model.model.tokenize
+        for part, spelt in zip(new, " ".join(new).translate(self.spelling).split(" ")):
+            ids = [token.id for token in merge(spelt)]
+            self.parts[part] = struct.pack(f"<{len(ids)}I", *ids)
+        codes = b"".join(map(self.parts.__getitem__, cut)).split(_BORDER)
+        self.words.update(zip(plain, codes))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > REMEMBERED:
             self.words = {"": b""}
         if len(self.parts) > REMEMBERED:
-            self.parts = {}
-        cut = {w: _PRE.findall(w.lower()) if _PLAIN.fullmatch(w) else None for w in words}
-        new = {p for parts in cut.values() if parts for p in parts if p not in self.parts}
-        new = list(new)
-        for low in range(0, len(new), 20_000):
-            block = new[low : low + 20_000]
-            got = self.model.encode(" ".join(block), add_special_tokens=False)
-            ids, owner = np.array(got.ids, dtype="<u4"), np.array(got.word_ids)
-            bounds = (4 * np.searchsorted(owner, np.arange(len(block) + 1))).tolist()
-            raw = ids.tobytes()
-            for part, start, stop in zip(block, bounds, bounds[1:]):
-                self.parts[part] = raw[start:stop]
-        for word, parts in cut.items():
-            self.words[word] = (
-                self._whole(word) if parts is None else b"".join([self.parts[p] for p in parts])
-            )
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+            self.parts = {" ": _BORDER}
         split = [
             None if any(s in t for s in self.special) else t.replace("\n", " ").split(" ")
             for t in texts
         ]
-        known = [words and list(map(self.words.get, words)) for words in split]
-        holes = [
-            (ids, at, words[at])
-            for words, ids in zip(split, known)
-            if ids and None in ids
-            for at, code in enumerate(ids)
-            if code is None
-        ]
-        if holes:
-            self._learn({word for _, _, word in holes})
-            for ids, at, word in holes:
-                ids[at] = self.words[word]
+        new = set().union(*filter(None, split)).difference(self.words)
+        if new:
+            self._learn(new)
         return [
-            self._whole(text) if ids is None else b"".join(ids) for text, ids in zip(texts, known)
+            self._whole(text) if words is None else b"".join(map(self.words.__getitem__, words))
+            for text, words in zip(texts, split)
         ]
 
 
