@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ def root_of(df: DataFrame, key: str, parent: str) -> DataFrame:
     depth d takes about log2(d) rounds.  Only rows that are somebody's parent
     take part; leaves, usually most rows, are resolved by one last join.  Rows
     that reached a root leave the rounds, so joins do not pile up on roots.
-    Each round is written to shared storage.
+    Each round writes the rows that moved to shared storage, no others.
     """
     edges = df.select(F.col(key).alias("id"), F.col(parent).alias("up"))
     named = edges.filter("up is not null and up != id").select(F.col("up").alias("node")).distinct()
@@ -46,28 +47,30 @@ def root_of(df: DataFrame, key: str, parent: str) -> DataFrame:
         F.when(F.col("exists"), 1).otherwise(0).cast("long").alias("depth"),
         F.coalesce(~F.col("exists"), F.lit(True)).alias("done"),
     )
-    table = cut_lineage(step, "roots")
-    left = table.filter("not done").count()
+    written = cut_lineage(step, "roots")
+    at_root, moving = [written.filter("done")], written.filter("not done")
+    left = moving.count()
     while left:
-        target = table.select(
+        target = reduce(DataFrame.unionByName, [*at_root, moving]).select(
             F.col("id").alias("node"),
             F.col("ptr").alias("far"),
             F.col("depth").alias("more"),
             F.col("done").alias("at_root"),
         )
-        moved = table.filter("not done").join(target, F.col("ptr") == F.col("node"))
-        moved = moved.select(
+        moved = moving.join(target, F.col("ptr") == F.col("node")).select(
             "id",
             F.col("far").alias("ptr"),
             (F.col("depth") + F.col("more")).alias("depth"),
             F.col("at_root").alias("done"),
         )
-        table = cut_lineage(table.filter("done").unionByName(moved), "roots")
-        remaining = table.filter("not done").count()
+        written = cut_lineage(moved, "roots")
+        at_root.append(written.filter("done"))
+        moving = written.filter("not done")
+        remaining = moving.count()
         if remaining == left:
             break  # whatever is still moving runs in circles
         left = remaining
-    found = table.select(
+    found = reduce(DataFrame.unionByName, [*at_root, moving]).select(
         F.col("id").alias("node"),
         F.when(F.col("done"), F.col("ptr")).alias("root"),
         F.when(F.col("done"), F.col("depth")).alias("depth"),

@@ -59,9 +59,15 @@ def _before(parts: DataFrame, value: str, out: str) -> DataFrame:
     return parts.withColumn(out, F.coalesce(F.sum(value).over(earlier), F.lit(0)))
 
 
-def row_id(df: DataFrame, order: Order, out: str = "row_id") -> DataFrame:
-    """1-based row number along a total order."""
-    spread = _spread(df, order)
+def row_id(
+    df: DataFrame, order: Order, out: str = "row_id", tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """1-based row number along ``order``.
+
+    ``tie_break`` (a unique key) makes the order total: numbers are then the same
+    on every run, and rows with one order value may lie in several partitions.
+    """
+    spread = _spread(df, [*order, *[(c, "asc") for c in tie_break]])
     sizes = spread.groupBy("__part").agg(F.count(F.lit(1)).alias("__rows"))
     offsets = _before(sizes, "__rows", "__offset").select("__part", "__offset")
     joined = spread.join(F.broadcast(offsets), "__part")

@@ -1,4 +1,4 @@
-"""Entity ranks and calendar windows; both see aggregated rows, never facts."""
+"""Entity ranks and windows along an order; both see aggregated rows, never facts."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from grainframe.functions.conditions import ratio
-from grainframe.operators.ordering import Order, global_rank, sort_columns
+from grainframe.operators.ordering import Order, global_rank, row_id, sort_columns
 from grainframe.session import cut_lineage
 
 
@@ -55,28 +55,63 @@ def top_entities(
     return rows.join(side, F.col(entity) == F.col("__entity"), "left_semi")
 
 
-def _along(order: str, within: Sequence[str]):
-    return (Window.partitionBy(*within) if within else Window).orderBy(F.col(order).asc_nulls_last())
+#: Rows per block of a window along an order.
+BLOCK_ROWS = 100_000
+
+
+def _blocks(
+    groups: DataFrame, order: str, within: Sequence[str], reach: int, block_rows: int
+) -> DataFrame:
+    """Rows in blocks along the order, each block with the ``reach`` rows before it.
+
+    A negative ``reach`` takes the rows after it.  Adds ``__at``, ``__block`` and
+    ``__own``, which is false for the borrowed rows.
+    """
+    size = max(block_rows, abs(reach))
+    placed = row_id(groups, [(c, "asc") for c in (*within, order)], "__at")
+    home, place = F.floor(F.col("__at") / size), F.pmod("__at", F.lit(size))
+    if reach >= 0:
+        lent, other = place >= size - reach, home + 1
+    else:
+        lent, other = place < -reach, home - 1
+    blocks = F.when(lent, F.array(home, other)).otherwise(F.array(home))
+    return placed.withColumn("__block", F.explode(blocks)).withColumn("__own", F.col("__block") == home)
 
 
 def lagged(
-    groups: DataFrame, measure: str, order: str, n: int = 1, within: Sequence[str] = (), out: str = "previous"
+    groups: DataFrame,
+    measure: str,
+    order: str,
+    n: int = 1,
+    within: Sequence[str] = (),
+    out: str = "previous",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Value ``n`` rows back and growth in percent.
+    """Value ``n`` rows back (ahead if negative) and growth in percent.
 
-    ``groups`` has one row per calendar period (and ``within`` group), so a
-    window sees at most the periods of a calendar.  A period without a row is
-    not counted: fill the calendar first where the growth must be per period.
+    ``groups`` has one row per ``within`` group and value of ``order``, of which there
+    may be any number: windows see blocks of ``block_rows`` rows and ``n`` border rows.
+    A period without a row is not counted: fill the calendar first where the growth
+    must be per period.
     """
-    previous = F.lag(measure, n).over(_along(order, within))
+    along = Window.partitionBy("__block", *within).orderBy("__at")
     change = ratio((F.col(measure) - F.col(out)) * 100, F.col(out))
-    return groups.withColumn(out, previous).withColumn(f"{measure}_growth_pct", change)
+    shifted = _blocks(groups, order, within, n, block_rows).withColumn(out, F.lag(measure, n).over(along))
+    own = shifted.filter("__own").drop("__at", "__block", "__own")
+    return own.withColumn(f"{measure}_growth_pct", change)
 
 
 def moving_avg(
-    groups: DataFrame, measure: str, order: str, n: int, within: Sequence[str] = (), out: str = "moving_avg"
+    groups: DataFrame,
+    measure: str,
+    order: str,
+    n: int,
+    within: Sequence[str] = (),
+    out: str = "moving_avg",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Mean over the current and the ``n - 1`` preceding periods (see ``lagged``)."""
-    frame = _along(order, within).rowsBetween(-(n - 1), 0)
-    return groups.withColumn(out, F.avg(measure).over(frame))
+    """Mean over the current and the ``n - 1`` preceding rows (see ``lagged``)."""
+    frame = Window.partitionBy("__block", *within).orderBy("__at").rowsBetween(-(n - 1), 0)
+    means = _blocks(groups, order, within, n - 1, block_rows).withColumn(out, F.avg(measure).over(frame))
+    return means.filter("__own").drop("__at", "__block", "__own")
 

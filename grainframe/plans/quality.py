@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,17 +126,16 @@ def _distinct(*columns: str) -> str:
                       count(DISTINCT {values}) = count(*) AND NOT ({single or "false"}) AS ok FROM orders"""
 
 
+_ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+_ORDER_SETS = [*combinations(_ORDER_COLUMNS, 1), *combinations(_ORDER_COLUMNS, 2)]
+
+
 @query(
     "candidate_keys",
-    f"""SELECT key_columns, "rows" FROM (
-          {_distinct("o_orderkey")} UNION ALL {_distinct("o_custkey")} UNION ALL {_distinct("o_orderdate")}
-          UNION ALL {_distinct("o_totalprice")} UNION ALL {_distinct("o_custkey", "o_orderdate")}
-          UNION ALL {_distinct("o_orderdate", "o_totalprice")} UNION ALL {_distinct("o_custkey", "o_totalprice")}
-        ) WHERE ok""",
+    f"""SELECT key_columns, "rows" FROM ({" UNION ALL ".join(_distinct(*s) for s in _ORDER_SETS)}) WHERE ok""",
 )
 def order_keys(t: Tables) -> DataFrame:
-    columns = ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"]
-    return candidate_keys(t.orders, columns, 2)
+    return candidate_keys(t.orders, _ORDER_COLUMNS, 2)
 
 
 @query(

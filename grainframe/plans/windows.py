@@ -125,7 +125,7 @@ def moving_average(t: Tables) -> DataFrame:
 )
 def row_ids(t: Tables) -> DataFrame:
     orders = t.orders.select("o_orderkey", "o_totalprice")
-    numbered = row_id(orders, [("o_totalprice", "desc"), ("o_orderkey", "asc")])
+    numbered = row_id(orders, [("o_totalprice", "desc")], tie_break=["o_orderkey"])
     return numbered.select("o_orderkey", "row_id")
 
 

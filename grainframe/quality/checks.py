@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from itertools import combinations
+from math import prod
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from grainframe.catalog import Catalog, Dataset
 from grainframe.operators.joins import align
@@ -164,38 +166,71 @@ def validate_catalog(catalog: Catalog) -> DataFrame:
             outside = check_domain(dataset.df, column, values).agg(F.sum("rows").alias("n"))
             report(outside, name, "domain", F.lit(column), F.coalesce("n", F.lit(0)))
     for edge in catalog.edges:
-        cover = check_fk(
-            catalog.datasets[edge.source].df, catalog.datasets[edge.target].df, edge.on
-        )
+        promises = {}
         if not edge.nullable:
-            loose = F.col("null_rows") + F.col("dangling_rows")
-            report(cover, edge.source, "reference", F.lit(edge.name), loose)
+            promises["reference"] = F.col("null_rows") + F.col("dangling_rows")
         if not edge.partial:
-            report(cover, edge.source, "coverage", F.lit(edge.name), F.col("unused_keys"))
+            promises["coverage"] = F.col("unused_keys")
+        if promises:  # both findings come from one comparison of the keys
+            cover = check_fk(
+                catalog.datasets[edge.source].df, catalog.datasets[edge.target].df, edge.on
+            )
+            each = [F.struct(F.lit(k).alias("kind"), n.alias("n")) for k, n in promises.items()]
+            rows = cover.select(F.inline(F.array(*each)))
+            report(rows, edge.source, F.col("kind"), F.lit(edge.name), F.col("n"))
     return reduce(DataFrame.unionByName, found).filter("violations > 0")
 
 
-def candidate_keys(df: DataFrame, columns: Sequence[str], max_columns: int = 2) -> DataFrame:
+def _as_text(df: DataFrame, column: str) -> Column:
+    """Text that is equal for equal values of a column only; null stays null."""
+    value, kind = F.col(column), df.schema[column].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return (value + F.lit(0.0)).cast("string")  # one zero
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value).cast("string")
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    if isinstance(kind, (T.ArrayType, T.StructType)):
+        return F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    return value.cast("string")
+
+
+def _distinct_counts(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> list[int]:
+    """Distinct combinations without nulls of each column set, in one pass over ``df``."""
+    items = [
+        F.struct(F.lit(i).alias("i"), F.array(*[_as_text(df, c) for c in names]).alias("values"))
+        for i, names in enumerate(sets)
+    ]
+    each = df.select(F.inline(F.array(*items))).filter(~F.exists("values", lambda v: v.isNull()))
+    counts = each.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n"))
+    found = {r["i"]: r["n"] for r in counts.collect()}
+    return [found.get(i, 0) for i in range(len(sets))]
+
+
+def candidate_keys(
+    df: DataFrame, columns: Sequence[str], max_columns: int = 2, sets_per_pass: int = 100
+) -> DataFrame:
     """Smallest column sets that identify a row: ``(key_columns, rows)``.
 
-    Every set is counted exactly, but for those that contain a confirmed key.
+    Sets are counted exactly, up to ``sets_per_pass`` in one pass.  Not counted are
+    only those that cannot be an answer: sets that contain a key, and sets whose
+    columns have fewer combinations of values than the table has rows.
     """
     spark = df.sparkSession
-    rows, found = df.count(), []
+    rows, found, single = df.count(), [], {}
     for size in range(1, max_columns + 1):
         likely = [
             names
             for names in combinations(columns, size)
             if not any(set(key) <= set(names) for key in found)
+            and (size == 1 or prod(single[c] for c in names) >= rows)
         ]
-        if not likely:
-            continue
-        exact = [
-            df.agg(F.count_distinct(*names).alias("n")).select(F.lit(i).alias("i"), "n")
-            for i, names in enumerate(likely)
-        ]
-        counts = reduce(DataFrame.unionByName, exact).filter(F.col("n") == rows)
-        found += [likely[r["i"]] for r in counts.sort("i").collect()]
+        for low in range(0, len(likely), sets_per_pass):
+            block = likely[low : low + sets_per_pass]
+            counts = _distinct_counts(df, block)
+            if size == 1:
+                single |= {names[0]: n for names, n in zip(block, counts)}
+            found += [names for names, n in zip(block, counts) if n == rows]
     report = [(",".join(names), rows) for names in found]
     return spark.createDataFrame(report, "key_columns string, rows long")
 

@@ -64,6 +64,26 @@ def test_row_id(scores):
     assert rows(got, "id", "row_id") == rows(expected, "id", "row_id")
 
 
+def test_row_id_with_ties(scores):
+    got = row_id(scores, [("score", "asc")], tie_break=["id"])
+    expected = scores.withColumn("row_id", F.row_number().over(Window.orderBy("score", "id")).cast("long"))
+    assert rows(got, "id", "row_id") == rows(expected, "id", "row_id")
+
+
+@pytest.mark.parametrize("n", [1, 3, 40, -2])
+def test_lag_and_average_over_many_blocks(scores, n):
+    """A per-second order: thousands of rows a group, borrowed rows at every border."""
+    for within in ([], ["grp"]):
+        window = Window.partitionBy(*within).orderBy("id")
+        got = lagged(scores, "score", "id", n, within, block_rows=17)
+        expected = scores.withColumn("previous", F.lag("score", n).over(window))
+        assert rows(got, "id", "previous") == rows(expected, "id", "previous")
+        if n > 0:
+            got = moving_avg(scores, "score", "id", n, within, block_rows=17)
+            expected = scores.withColumn("moving_avg", F.avg("score").over(window.rowsBetween(1 - n, 0)))
+            assert rows(got, "id", "moving_avg") == rows(expected, "id", "moving_avg")
+
+
 def test_running_total(scores):
     got = running_total(scores, "id", "points", F.sum("score"), "upto")
     expected = scores.withColumn("upto", F.sum("score").over(Window.orderBy("id")))
@@ -75,9 +95,11 @@ def test_no_order_is_taken_in_one_task(scores):
         global_rank(scores, [("score", "asc")]),
         row_id(scores, [("id", "asc")]),
         running_total(scores, "id", "points", F.sum("score"), "upto"),
+        lagged(scores, "score", "id"),
+        moving_avg(scores, "score", "id", 5),
     ):
         windows = [line for line in plan_of(df).splitlines() if "Window [" in line]
-        single = [w for w in windows if "__part" not in w]
+        single = [w for w in windows if "__part" not in w and "__block" not in w]
         assert not single
 
 

@@ -166,6 +166,19 @@ def test_candidate_keys(spark):
     assert rows(candidate_keys(df, df.columns, 2), "key_columns") == [("a,b",), ("id",)]
 
 
+def test_candidate_keys_of_a_wide_table_in_few_passes(spark):
+    wide = spark.range(60).select(
+        "id", *[(F.col("id") % (i % 9 + 2)).alias(f"c{i}") for i in range(69)]
+    )
+    wide = wide.withColumns({"d": F.col("id") % 7 * -0.0, "when": F.timestamp_seconds("id"), "raw": F.encode(F.col("id").cast("string"), "UTF-8")})
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    found = {r["key_columns"] for r in candidate_keys(wide, wide.columns, 2).collect()}
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - len(before)
+    assert {"id", "when", "raw"} <= found and "d" not in found
+    counts = {c: wide.select(c).distinct().count() for c in ("c7", "c8")}
+    assert "c7,c8" in found and counts == {"c7": 9, "c8": 10} and jobs < 60  # lcm(9, 10) >= 60
+
+
 def test_suggest_binding(spark):
     df = spark.createDataFrame([(1, 10, "x"), (2, None, None)], "id int, ref int, v string")
     dim = spark.createDataFrame([(10,), (20,)], "k int")
