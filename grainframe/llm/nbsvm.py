@@ -1,9 +1,10 @@
 """Quality classifier: a linear hinge-loss model on n-gram indicators scaled by naive Bayes.
 
-1. Every labelled training text says which n-grams it holds.  N-grams are of tokens
+1. Labelled training texts say which n-grams they hold.  N-grams are of tokens
    (runs of letters and runs of punctuation, case kept; one and two of them) and of
    token shapes (case, digits, punctuation, same as the token before; one to three).
-   Class counts are over all training rows; their log ratio scales the indicators.
+   Class counts are over at most ``COUNTED`` training rows a class (``labelled.py``);
+   their log ratio scales the indicators.
 2. On a bounded sample of at most ``SAMPLE`` rows a class, a linear model is fitted to the
    scaled and normalised indicators by dual coordinate descent on the hinge loss, and
    blended with the mean of its weights.
@@ -177,7 +178,7 @@ def score_quality(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     docs = docs.drop("held_out", "score", "predicted")
-    known = labelled(docs, labels.where(fold_of(folds) != held_out), label)
+    known = labelled(docs, labels.where(fold_of(folds) != held_out), label, sample)
     ratio, weights, bias = fit(known, sample)
     strength = (ratio * weights).astype(np.float32)
     squares = (ratio * ratio).astype(np.float32)

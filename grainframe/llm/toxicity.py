@@ -4,7 +4,8 @@ Tokens (runs of letters, A-Z lower-cased, and runs of punctuation) have hashed
 embeddings, the sum of one for the token and one for its first bytes, so that unseen
 forms of a known stem are not blank.  Filters of several widths are max-pooled over the
 whole text and feed a logistic unit.  The first embedding dimension starts at the log
-ratio of classes counted over all labelled training rows; the rest starts at random, and
+ratio of classes counted over at most ``COUNTED`` labelled training rows a class
+(``labelled.py``); the rest starts at random, and
 everything is trained by adaptive gradient steps on a bounded sample of at most
 ``SAMPLE`` rows a class.  Part of the sample sets one threshold per language, told from
 function words of the text itself, and scores are shifted so that 0.5 is the threshold.
@@ -263,7 +264,7 @@ def score_toxicity(
     from pyspark.sql.pandas.types import to_arrow_schema
 
     docs = docs.drop("held_out", "score", "predicted")
-    known = labelled(docs, labels.where(fold_of(folds) != held_out), label)
+    known = labelled(docs, labels.where(fold_of(folds) != held_out), label, sample)
     network, cuts = fit(known, sample)
     tables = network.tables() if network else []
     out, bias = (network.out.astype(np.float32), network.bias) if network else (None, 0.0)
