@@ -76,6 +76,28 @@ def test_passages(spark, odd_docs, no_docs):
     assert repeated_passages(no_docs).count() == 0
 
 
+def _linked(spark, rows):
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {frozenset((r.doc_id, r.with_doc_id)) for r in found}
+
+
+def _fresh(tag, n):
+    return " ".join(f"{tag}{i}" for i in range(n))
+
+
+def test_passages_whose_parts_have_other_holders(spark):
+    whole = [f"p{i}" for i in range(60)]
+    for trial in range(4):
+        parts = [" ".join(whole[a : a + 20]) for a in (0, 20, 40)]
+        rows = [(10 + k, f"{_fresh(f's{trial}{k}x', 30)} {part} {_fresh(f's{trial}{k}y', 30)}")
+                for k, part in enumerate(parts * 4)]
+        # several texts a part, so that some node of each is smaller than both
+        rows = [(i + 100 * k, f"{text} {k}") for k in range(2) for i, text in rows]
+        rows += [(1, f"{_fresh(f'a{trial}', 40)} {' '.join(whole)}"),
+                 (2, f"{' '.join(whole)} {_fresh(f'b{trial}', 40)}")]
+        assert frozenset((1, 2)) in _linked(spark, rows)
+
+
 def test_chains_follow_both_orders():
     x, y = np.array([0, 6, 12, 18, 24]), np.array([0, 6, 90, 18, 24])
     assert [c.tolist() for c in chains(x, y, least=6)] == [[0, 1, 3, 4]]
