@@ -98,6 +98,20 @@ def test_passages_whose_parts_have_other_holders(spark):
         assert frozenset((1, 2)) in _linked(spark, rows)
 
 
+def test_edited_passages_down_to_the_identity(spark):
+    rows, pairs = [], 120
+    rng = np.random.default_rng(5)
+    for k in range(pairs):
+        n = 60 if k % 2 else 100
+        step = (5, 6, 8, 10)[k % 4] if k % 3 else 7
+        a = [f"e{k}w{i}" for i in range(n)]
+        b = [f"x{k}w{i}" if (i + 1) % step == 0 and i < n - 1 else w for i, w in enumerate(a)]
+        rows.append((2 * k, f"{_fresh(f'l{k}', int(rng.integers(5, 60)))} {' '.join(a)}"))
+        rows.append((2 * k + 1, f"{_fresh(f'r{k}', int(rng.integers(5, 60)))} {' '.join(b)}"))
+    found = _linked(spark, rows)
+    assert all(p in found for p in (frozenset((2 * k, 2 * k + 1)) for k in range(pairs)))
+
+
 def test_chains_follow_both_orders():
     x, y = np.array([0, 6, 12, 18, 24]), np.array([0, 6, 90, 18, 24])
     assert [c.tolist() for c in chains(x, y, least=6)] == [[0, 1, 3, 4]]
