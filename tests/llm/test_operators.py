@@ -112,6 +112,14 @@ def test_edited_passages_down_to_the_identity(spark):
     assert all(p in found for p in (frozenset((2 * k, 2 * k + 1)) for k in range(pairs)))
 
 
+def test_passages_of_texts_without_an_id_do_not_hide_others(spark):
+    shared = _fresh("n", 70)
+    for trial in range(4):
+        rows = [(None, f"{shared} {_fresh(f'z{trial}{k}', 20)}") for k in range(12)]
+        rows += [(i, f"{_fresh(f'd{trial}{i}', 30)} {shared}") for i in (1, 2)]
+        assert _linked(spark, rows) == {frozenset((1, 2))}
+
+
 def test_chains_follow_both_orders():
     x, y = np.array([0, 6, 12, 18, 24]), np.array([0, 6, 90, 18, 24])
     assert [c.tolist() for c in chains(x, y, least=6)] == [[0, 1, 3, 4]]
