@@ -14,7 +14,7 @@ two sets are compared in full.
    tokens held by more than ``1/FREQUENT`` of all token entries: at most FREQUENT, so
    that table is bounded and goes to every task as the frequency part of the orders.
 3. A set whose tokens are mostly its own cannot reach ``t`` with another; only the
-   remaining sets fetch their texts, form prefixes and post them.
+   remaining sets fetch their texts, by id or by digest, form prefixes and post them.
 4. In the first round each posted token links its sets to one anchor, the set with the
    least of its own tokens; the second round compares what is posted under the same
    token but still lies in different components.  Pairs within a component are never
@@ -25,8 +25,9 @@ Step 2 cuts tokens to 32 bits within a shard; a collision makes a token look sha
 which lets more sets pass and never loses one.
 
 Defined results: null, empty and white-space texts have the empty set and link with
-nothing; repeated rows share a component; rows with a null id are returned with a null
-component when nothing else has their set; extra columns are not carried.
+nothing; repeated rows share a component; rows with a null id link
+and bridge like others and have a null component when no row with an id is reached; extra
+columns are not carried.
 """
 
 from __future__ import annotations
@@ -237,6 +238,21 @@ class _Orders:
         return tokens[rank[:length]]
 
 
+def with_digest(docs: DataFrame, size: int = 5) -> DataFrame:
+    """``digest, text`` of every row, once for the copies within a slice."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                digest = _digests(*shingle_sets(words_of(batch.column("text")), size))
+                some = pa.array(np.unique(digest, return_index=True)[1])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(digest).take(some), batch.column("text").take(some)], ["digest", "text"]
+                )
+
+    return docs.select("text").mapInArrow(scan, "digest long, text string")
+
+
 def similar_sets(docs: DataFrame, threshold: tuple[int, int] = (4, 5), size: int = 5) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``.
 
@@ -281,7 +297,12 @@ def similar_sets(docs: DataFrame, threshold: tuple[int, int] = (4, 5), size: int
                 )
                 yield made.filter(pa.array(mine))
 
-    formed = docs.join(open_sets, "doc_id").select("digest", "n", "m", "text").mapInArrow(
+    named_sets = docs.join(open_sets, "doc_id").select("digest", "n", "m", "text")
+    # sets that only rows without an id hold are met by their digest
+    nameless = with_digest(docs.where("doc_id is null"), size).join(
+        open_sets.where("doc_id is null").drop("doc_id"), "digest"
+    ).dropDuplicates(["digest"]).select("digest", "n", "m", "text")
+    formed = named_sets.unionByName(nameless).mapInArrow(
         form, "digest long, n long, m long, tokens binary, bits array<long>"
     )
     formed = cut_lineage(formed, "open-sets")

@@ -133,6 +133,16 @@ def test_similar_sets(documents, texts, odd_docs, odd_rows, no_docs):
     assert similar_sets(no_docs).count() == 0
 
 
+def test_sets_without_an_id_link_and_bridge(spark):
+    def text(*changed):
+        return " ".join(f"c{i}" if i in changed else f"b{i}" for i in range(204))
+
+    one, bridge, two = text(), text(20, 60, 100), text(20, 60, 100, 140, 170, 190)
+    rows = [(1, one), (None, bridge), (2, two), (None, bridge), (None, "a b c d e f g")]
+    found = similar_sets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0) for r in found) == [(0, 0), (0, 1), (0, 1), (1, 1), (2, 1)]
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(20)] + [(100, 101), (7, 3)] + [(200, 200 + i) for i in range(1, 30)]
     found = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
