@@ -29,14 +29,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def folder():
     return TESTDATA
-
-
-def rows(df, *order):
-    """Rows as a sorted list of tuples; nulls sort last."""
-    found = [tuple(r) for r in df.select(*(order or df.columns)).collect()]
-    return sorted(found, key=lambda r: [(v is None, str(type(v)), v if v is not None else 0) for v in r])
-
-
-def plan_of(df):
-    """Physical plan as text."""
-    return df._jdf.queryExecution().executedPlan().toString()

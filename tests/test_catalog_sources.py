@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from grainframe.catalog import Catalog, Dataset, Edge, Measure, star_select

@@ -2,7 +2,7 @@
 
 import random
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from grainframe.functions import box_ring, in_ring, ring_area, ring_centroid

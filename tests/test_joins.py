@@ -1,7 +1,7 @@
 """Which side survives, for matched, null, orphaned and unused keys."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from grainframe.operators import (
     align,

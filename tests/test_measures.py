@@ -1,7 +1,7 @@
 """Grain rules, percentages, labels and nested results."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from grainframe.functions import calc_percent, only_if, ratio

@@ -1,7 +1,7 @@
 """Cleaning jobs and checks on small dirty inputs."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 

@@ -1,7 +1,7 @@
 """Plan shapes that matter on large, skewed data."""
 
 import pytest
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from grainframe.operators import (
