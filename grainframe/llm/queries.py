@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from grainframe.llm.decontaminate import find_leaks
 from grainframe.llm.language_model import score_texts
+from grainframe.llm.merkle import verified_documents
 from grainframe.llm.nbsvm import score_quality
 from grainframe.llm.ngram_join import similar_sets
 from grainframe.llm.packing import pack_documents
@@ -124,3 +125,73 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Passages of 50 words and more that documents share, exactly or with edits."""
     return repeated_passages(_table(spark, folder, "documents"))
+
+
+#: CRC-32 of the decimal digits ``d``: bytes, then eight shifts each with the reflected polynomial.
+_CRC32 = """xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(string_split({d}, ''), lambda x: ascii(x)::BIGINT)),
+        lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                              lambda r, z: xor(r >> 1, (r & 1) * 3988292384))))"""
+
+
+def _framed_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(map(_framed_sql, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+@_query(
+    "op12_merkle_manifest",
+    f"""
+    WITH RECURSIVE
+    d AS (SELECT doc_id, source, lang, n_chars, text,
+                 CASE WHEN {_CRC32.format(d="CAST(doc_id AS VARCHAR)")} % 2 = 0
+                      THEN replace(text, chr(10), '') ELSE text END AS changed
+          FROM documents),
+    h AS (SELECT doc_id, source, {_leaf_sql("text")} AS leaf, {_leaf_sql("changed")} AS now FROM d),
+    p AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g,
+                 row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, now) - 1 AS i,
+                 count(*) OVER (PARTITION BY source) AS n
+          FROM h),
+    low AS (SELECT g, 0 AS lev, i, n, leaf AS x FROM p
+            UNION ALL
+            SELECT g, lev + 1, i // 3, (n + 2) // 3, sha256(string_agg(x, '' ORDER BY i))
+            FROM low WHERE n > 1 GROUP BY g, lev, i // 3, n),
+    subs AS (SELECT g, lev AS depth, x AS subroot FROM low WHERE n = 1),
+    top AS (SELECT 0 AS lev, g AS i, (SELECT count(*) FROM subs) AS n, subroot AS x FROM subs
+            UNION ALL
+            SELECT lev + 1, i // 3, (n + 2) // 3, sha256(string_agg(x, '' ORDER BY i))
+            FROM top WHERE n > 1 GROUP BY lev, i // 3, n),
+    nodes AS (SELECT g, lev, i, n, x FROM low WHERE n > 1
+              UNION ALL SELECT -1, lev, i, n, x FROM top WHERE n > 1),
+    sides AS (SELECT a.g, a.lev, a.i,
+                     coalesce(string_agg(b.x, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+                     coalesce(string_agg(b.x, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+              FROM nodes a JOIN nodes b ON a.g = b.g AND a.lev = b.lev AND a.i // 3 = b.i // 3
+              GROUP BY a.g, a.lev, a.i),
+    walk AS (SELECT p.g, p.i AS leaf_at, p.g AS tree, 0 AS lev, p.i AS i, '' AS proof, p.now AS fold, depth
+             FROM p JOIN subs ON subs.g = p.g
+             UNION ALL
+             SELECT w.g, w.leaf_at,
+                    CASE WHEN w.tree >= 0 AND w.lev = w.depth THEN -1 ELSE w.tree END,
+                    CASE WHEN w.tree >= 0 AND w.lev = w.depth THEN 0 ELSE w.lev + 1 END,
+                    CASE WHEN w.tree >= 0 AND w.lev = w.depth THEN w.g ELSE w.i // 3 END,
+                    CASE WHEN w.tree >= 0 AND w.lev = w.depth THEN w.proof ELSE w.proof || s.l || s.r END,
+                    CASE WHEN w.tree >= 0 AND w.lev = w.depth THEN w.fold
+                         ELSE sha256(s.l || w.fold || s.r) END,
+                    w.depth
+             FROM walk w LEFT JOIN sides s ON s.g = w.tree AND s.lev = w.lev AND s.i = w.i
+             WHERE w.tree >= 0 OR s.g IS NOT NULL),
+    done AS (SELECT * FROM walk WHERE tree = -1
+             QUALIFY row_number() OVER (PARTITION BY g, leaf_at ORDER BY lev DESC) = 1),
+    r AS (SELECT x AS root FROM top WHERE n = 1)
+    SELECT p.doc_id, p.leaf, subs.subroot, r.root, sha256(done.proof) AS proof_sha256,
+           done.fold AS folded_root, done.fold = r.root AS verified
+    FROM p JOIN subs ON subs.g = p.g JOIN done ON done.g = p.g AND done.leaf_at = p.i CROSS JOIN r
+    """,
+)
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Digest trees over all documents, with a proof and a check of every row."""
+    return verified_documents(_table(spark, folder, "documents"))
