@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from grainframe.llm.conversations import damaged, repair_report
 from grainframe.llm.decontaminate import find_leaks
 from grainframe.llm.language_model import score_texts
 from grainframe.llm.merkle import verified_documents
@@ -16,6 +17,7 @@ from grainframe.llm.packing import pack_documents
 from grainframe.llm.passages import repeated_passages
 from grainframe.llm.pii import find_personal_data
 from grainframe.llm.repetition import repetition_rules
+from grainframe.llm.simhash import simhash_groups
 from grainframe.llm.toxicity import score_toxicity
 from grainframe.llm.warc import convert_and_read
 
@@ -195,3 +197,15 @@ def _leaf_sql(text: str) -> str:
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Digest trees over all documents, with a proof and a check of every row."""
     return verified_documents(_table(spark, folder, "documents"))
+
+
+@_query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    return repair_report(damaged(_table(spark, folder, "conversations")))
+
+
+@_query("op13_simhash_dedup")
+def op13_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose fingerprints differ in four bits or fewer."""
+    return simhash_groups(_table(spark, folder, "documents"))
