@@ -77,9 +77,12 @@ def _levels(nodes: DataFrame, most: int) -> tuple[list[DataFrame], DataFrame]:
     ``nodes`` has ``g`` (tree), ``i`` (0-based index), ``n`` (nodes of the tree on this
     level) and ``h``; ``most`` is the greatest ``n``.
     """
+    spread = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     levels, roots = [], nodes.where("n = 1").select("g", "h", F.lit(0).alias("depth"))
     for level in range(_depth(most)):
-        held = cut_lineage(_with_siblings(nodes.where("n > 1")), f"merkle{level}")
+        # a third of the nodes below, so a third of their tasks and files
+        joined = _with_siblings(nodes.where("n > 1")).coalesce(max(1, spread // ARITY**level))
+        held = cut_lineage(joined, f"merkle{level}")
         levels.append(held)
         nodes = held.where(F.col("i") % ARITY == 0).select(
             "g",
@@ -132,6 +135,8 @@ def merkle_manifest(rows: DataFrame, group: str, order: str, leaf: str, keep: Se
         *[F.col(c).alias(f"v{j}") for j, c in enumerate(keep)],
     ).withColumns({"k0": F.col("k").isNotNull(), "o0": F.col("o").isNotNull()})
     values = [f"v{j}" for j in range(len(keep))]
+    # written, as numbering reads the rows twice: texts are digested once
+    named = cut_lineage(named, "merkle-leaves")
     placed = row_id(named, [(c, "asc") for c in ("k0", "k", "o0", "o")], "at", ["h", *values])
     groups = placed.groupBy("k").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
     groups = row_id(groups.withColumn("k0", F.col("k").isNotNull()), [("k0", "asc"), ("k", "asc")], "g")
