@@ -1,6 +1,6 @@
 """DataFrame operators: joins, hierarchies, spatial joins, aggregation, ranking, sets."""
 
-from grainframe.operators.hierarchy import root_of, with_parent
+from grainframe.operators.hierarchy import ancestors, root_of, with_parent
 from grainframe.operators.joins import (
     align,
     bridge,
@@ -42,6 +42,7 @@ from grainframe.operators.spatial import points_in_polygons
 from grainframe.operators.windows import lagged, moving_avg, rank_entities, top_entities
 
 __all__ = [
+    "ancestors",
     "additive",
     "agg_by",
     "agg_native",

@@ -1,4 +1,4 @@
-"""Parent and root of parent-pointer hierarchies of any depth."""
+"""Parent, root and ancestors of parent-pointer hierarchies of any depth."""
 
 from __future__ import annotations
 
@@ -91,3 +91,41 @@ def root_of(df: DataFrame, key: str, parent: str) -> DataFrame:
             F.coalesce(F.col("looped"), F.lit(False)).alias("in_cycle"),
         )
     )
+
+
+def ancestors(df: DataFrame, key: str, parent: str, max_depth: int) -> DataFrame:
+    """Every ancestor up to ``max_depth`` steps above: ``(key, ancestor, distance, repeats)``.
+
+    Parents that are null, missing from ``df`` or the row itself are none.  A key may
+    have several rows with different parents; an ancestor met on several ways has its
+    shortest distance.  ``repeats`` tells that it was met more than once, which in a tree
+    of single parents happens on and below a cycle only; there a row can be its own
+    ancestor.
+
+    The reach doubles: pairs whose distance is the reach so far meet all pairs above
+    them, so every new pair arises once and only new pairs are written.  At most rows x
+    ``max_depth`` pairs leave for single parents.
+    """
+    if max_depth < 1:
+        raise ValueError("max_depth must be at least 1")
+    edges = df.select(F.col(key).alias("id"), F.col(parent).alias("up")).filter("up <> id").distinct()
+    known = df.select(F.col(key).alias("up")).distinct()
+    pairs = [cut_lineage(edges.join(known, "up", "left_semi").select("id", "up", F.lit(1).alias("far")), "ancestors")]
+    reach = 1
+    while reach < max_depth:
+        above = reduce(DataFrame.unionByName, pairs).select(
+            F.col("id").alias("up"), F.col("up").alias("top"), F.col("far").alias("more")
+        )
+        edge = pairs[-1].filter(F.col("far") == reach)
+        new = edge.join(above.filter(F.col("more") <= max_depth - reach), "up").select(
+            "id", F.col("top").alias("up"), (F.col("far") + F.col("more")).alias("far")
+        )
+        written = cut_lineage(new.distinct(), "ancestors")
+        if written.isEmpty():
+            break
+        pairs.append(written)
+        reach *= 2
+    found = reduce(DataFrame.unionByName, pairs).groupBy("id", "up")
+    return found.agg(F.min("far").alias("distance"), F.count(F.lit(1)).alias("met")).select(
+        F.col("id").alias(key), F.col("up").alias("ancestor"), "distance", (F.col("met") > 1).alias("repeats")
+    )

@@ -21,6 +21,7 @@ from grainframe.operators import (
     link,
     link_all,
     points_in_polygons,
+    ancestors,
     root_of,
     with_parent,
 )
@@ -380,6 +381,20 @@ def hierarchy_root(t: Tables) -> DataFrame:
     return root_of(_tree(t), "event_id", "parent").select("event_id", "root", "depth")
 
 
+@query(
+    "hierarchy_ancestors",
+    f"""WITH RECURSIVE tree AS (SELECT * FROM {_TREE}),
+        up AS (SELECT event_id, parent AS ancestor, 1 AS distance FROM tree WHERE parent IS NOT NULL
+               UNION ALL
+               SELECT u.event_id, t.parent, u.distance + 1 FROM up u JOIN tree t ON u.ancestor = t.event_id
+               WHERE t.parent IS NOT NULL AND u.distance < 6)
+        SELECT event_id, ancestor, distance, false AS repeats FROM up""",
+)
+def hierarchy_ancestors(t: Tables) -> DataFrame:
+    """All ancestors up to six levels above each event."""
+    return ancestors(_tree(t), "event_id", "parent", 6)
+
+
 _BY_FLAG = "SELECT l_partkey, count(*) AS n, round(sum(l_quantity), 2) AS q FROM lineitem WHERE l_returnflag {0} 'R' GROUP BY 1"
 
 

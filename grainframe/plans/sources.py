@@ -25,6 +25,7 @@ from grainframe.sources import (
     rollup_write,
     scan_csv,
     scan_parquet,
+    scan_quoted,
     scan_tsv,
     view,
     write_bucketed,
@@ -78,6 +79,31 @@ def scan_csv_documents(t: Tables) -> DataFrame:
     return scan_csv(t.spark, path, SCHEMAS["documents"])
 
 
+def _as_text(t: Tables, label: str, sep: str = ",") -> str:
+    """The documents as delimited text with line breaks and quotes inside fields."""
+    path = scratch_path(t.spark, label)
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "escape": '"'}
+    t.documents.write.options(header="true", sep=sep, **kept).csv(path)
+    return path
+
+
+@query("scan_quoted_documents", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def scan_quoted_documents(t: Tables) -> DataFrame:
+    """Texts with line breaks and quotes through CSV and back, a task per file split."""
+    return scan_quoted(t.spark, _as_text(t, "documents-quoted"), SCHEMAS["documents"])
+
+
+@query(
+    "scan_quoted_inferred",
+    "SELECT doc_id, text, lang, source, n_chars FROM documents",
+)
+def scan_quoted_inferred(t: Tables) -> DataFrame:
+    """The same as tab-separated text without a schema; whole numbers are widened to those of the table."""
+    read = scan_quoted(t.spark, _as_text(t, "documents-quoted-tsv", "\t"), sep="\t")
+    wide = {c: F.col(c).cast("long") for c in ("doc_id", "n_chars")}
+    return read.withColumns(wide)
+
+
 @query("scan_csv_inferred", "SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate FROM orders")
 def scan_csv_inferred(t: Tables) -> DataFrame:
     """Types from the whole file; whole numbers and times are widened to those of the table."""
@@ -247,6 +273,20 @@ def incremental_new_keys(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "incremental_newest",
+    """SELECT user_id, event_id, event_type, ts FROM events
+       QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1""",
+)
+def incremental_newest(t: Tables) -> DataFrame:
+    """One event per user, loaded in two batches: of a batch's rows the newest of a new user stays."""
+    path = scratch_path(t.spark, "users-incremental")
+    newest = t.events.select("user_id", "event_id", "event_type", "ts").withColumn("at", F.struct("ts", "event_id"))
+    materialize(newest.filter("false"), path)
+    append_new(path, newest.filter("user_id % 3 = 0"), "user_id", "at")
+    return append_new(path, newest, "user_id", "at").drop("at")
+
+
 def _daily(t: Tables) -> DataFrame:
     price = F.col("o_totalprice")
     return rollup_write(

@@ -2,6 +2,7 @@
 
 from grainframe.sources.bind import bind, bind_nested, view
 from grainframe.sources.lookup import lookup_from_json
+from grainframe.sources.quoted import infer_types, quoted_records, quoted_to_parquet, scan_quoted
 from grainframe.sources.rollup import (
     RollupMeasure,
     freshness,
@@ -29,16 +30,20 @@ __all__ = [
     "csv_to_parquet",
     "export",
     "freshness",
+    "infer_types",
     "load",
     "lookup_from_json",
     "materialize",
     "materialize_table",
     "pick_source",
+    "quoted_records",
+    "quoted_to_parquet",
     "refresh",
     "rollup_read",
     "rollup_write",
     "scan_csv",
     "scan_parquet",
+    "scan_quoted",
     "scan_tsv",
     "view",
     "write_bucketed",

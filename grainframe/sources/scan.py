@@ -1,7 +1,8 @@
 """File scans.  Pass a schema for large inputs: inference reads the text once more.
 
-Quoted fields of delimited text may hold line breaks, so one task reads a whole
-file.  Where every record is one line, ``multiLine="false"`` splits large files.
+Quoted fields of delimited text may hold line breaks, so here one task reads a whole
+file.  For large files, ``scan_quoted`` reads by splits and keeps such fields, and where
+every record is one line, ``multiLine="false"`` splits as well.
 """
 
 from __future__ import annotations

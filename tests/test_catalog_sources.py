@@ -30,6 +30,7 @@ from grainframe.sources import (
     view,
     write_bucketed,
 )
+from grainframe.sources.write import _held_keys
 
 
 @pytest.fixture(scope="module")
@@ -265,6 +266,31 @@ def test_append_new_takes_a_null_key_once(spark, tmp_path):
     assert append_new(path, rows_, "k").count() == 2
 
 
+def test_append_new_keeps_the_newest_of_a_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k int, at int, v string"
+    spark.createDataFrame([(1, 9, "old"), (500, 1, "far")], schema).write.parquet(path)
+    batch = [(1, 10, "known"), (2, 1, "a"), (2, 3, "b"), (2, None, "c"), (3, None, "d"), (None, 1, "e"), (None, 2, "f"),
+             (4, 7, "x"), (4, 7, "y"), (4, 7, "y")]
+    found = append_new(path, spark.createDataFrame(batch, schema), "k", "at")
+    expected = [(1, 9, "old"), (2, 3, "b"), (3, None, "d"), (4, 7, "y"), (500, 1, "far"), (None, 2, "f")]
+    assert rows(found) == expected
+    assert rows(append_new(path, spark.createDataFrame(batch, schema), "k", "at")) == expected
+    assert rows(append_new(path, spark.createDataFrame(batch, schema).limit(0), "k")) == expected
+
+
+def test_new_key_load_reads_keys_in_range_only(spark, tmp_path):
+    """The target is reduced to the batch's range and keys before its keys are made distinct."""
+    path = str(tmp_path / "t")
+    spark.range(10_000).selectExpr("id AS k", "id AS v").write.parquet(path)
+    batch = spark.range(9_990, 10_010).selectExpr("id AS k", "id AS v")
+    held = _held_keys(spark.read.parquet(path), batch, "k")
+    plan = held._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "GreaterThanOrEqual(k,9990)" in plan and "ReadSchema: struct<k:bigint>" in plan
+    assert plan.index("HashAggregate") < plan.index("LeftSemi") and rows(held) == [(k,) for k in range(9_990, 10_000)]
+    assert append_new(path, batch, "k", "v").count() == 10_010
+
+
 def test_refresh_builds_from_nothing(spark, tmp_path):
     path = str(tmp_path / "none")
     built = refresh(spark, path, path, "d", lambda: spark.sql("SELECT date'2024-01-01' AS d"), 1, "2024-01-02")

@@ -2,11 +2,12 @@
 
 import random
 
+import pytest
 from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from grainframe.functions import box_ring, in_ring, ring_area, ring_centroid
-from grainframe.operators import points_in_polygons, root_of
+from grainframe.operators import ancestors, points_in_polygons, root_of
 
 
 def _roots(parents):
@@ -108,3 +109,38 @@ def test_in_ring_is_false_outside(spark):
     df = spark.createDataFrame([(5.0, 5.0), (1.0, 1.0)], "x double, y double")
     ring = box_ring(F.lit(0), F.lit(0), F.lit(2), F.lit(2))
     assert rows(df.select("x", in_ring(ring, F.col("x"), F.col("y")).alias("hit"))) == [(1.0, True), (5.0, False)]
+
+
+def _ancestors(edges, known, most):
+    """Shortest distance and whether met again, following every way."""
+    out = {}
+    for key in known:
+        here = {key}
+        for distance in range(1, most + 1):
+            here = {u for k in here for u in edges.get(k, ()) if u is not None and u != k and u in known}
+            for up in here:
+                first, met = out.get((key, up), (distance, 0))
+                out[key, up] = (first, met + 1)
+    return {(k, a, d, n > 1) for (k, a), (d, n) in out.items()}
+
+
+@pytest.mark.parametrize("most", [1, 2, 5, 8, 200])
+def test_ancestors(spark, most):
+    rng = random.Random(most)
+    pairs = [(1, None), *[(i, i - 1) for i in range(2, 40)]]  # a chain
+    pairs += [(100 + i, 100 + i // 3 if i else None) for i in range(60)]  # a tree, its root naming itself too
+    pairs += [(200, 201), (201, 202), (202, 200), (203, 200), (204, 203)]  # below a cycle
+    pairs += [(300, 999), (301, 300), (302, None), (302, None), (303, 302), (303, 302)]  # missing parent, repeated rows
+    pairs += [(400 + i, 400 + rng.randrange(i)) for i in range(1, 12) for _ in range(2)] + [(400, None)]  # several parents
+    edges = {}
+    for k, u in pairs:
+        edges.setdefault(k, set()).add(u)
+    df = spark.createDataFrame([(k, u, "x") for k, u in pairs], "id long, up long, ancestor string")
+    found = {tuple(r) for r in ancestors(df, "id", "up", most).collect()}
+    assert found == _ancestors(edges, set(edges), most)
+    assert ancestors(df.limit(0), "id", "up", most).count() == 0
+
+
+def test_ancestors_need_a_depth(spark):
+    with pytest.raises(ValueError):
+        ancestors(spark.createDataFrame([(1, None)], "id long, up long"), "id", "up", 0)
