@@ -11,12 +11,11 @@ from functools import reduce
 from itertools import combinations
 from math import prod
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from grainframe.catalog import Catalog, Dataset
-from grainframe.operators.joins import align
+from grainframe.quality.passes import DIM, Breach, KeyUse, as_text, counts_by_tag, edge_uses, tagged_keys, types_of
 
 
 def check_schema(dataset: Dataset) -> DataFrame:
@@ -87,12 +86,7 @@ def check_fk(fact: DataFrame, dim: DataFrame, on: Mapping[str, str]) -> DataFram
         total(F.lit(1), known & dims.isNotNull()).alias("dim_keys"),
         total(F.lit(1), known & dims.isNotNull() & (facts == 0)).alias("unused_keys"),
     )
-    loose = (F.col("null_rows") > 0) | (F.col("dangling_rows") > 0)
-    modifier = F.concat(
-        F.when(F.col("unused_keys") > 0, F.lit("~")).otherwise(F.lit("")),
-        F.when(loose, F.lit("?")).otherwise(F.lit("")),
-    )
-    return report.withColumn("modifier", modifier)
+    return report.withColumn("modifier", _modifier())
 
 
 def check_domain(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -101,31 +95,52 @@ def check_domain(df: DataFrame, column: str, values: Sequence) -> DataFrame:
     return outside.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def _fused(tables: Mapping[str, DataFrame], uses: Sequence[tuple[str, KeyUse]], breaches=()) -> DataFrame:
+    """Counts per tag, each table scanned once."""
+    passes = []
+    for name, df in tables.items():
+        own, broken = [u for n, u in uses if n == name], [b for n, b in breaches if n == name]
+        if own or broken:
+            passes.append(tagged_keys(df, own, broken))
+    return counts_by_tag(passes)
+
+
+def _modifier() -> Column:
+    """``~`` and ``?`` as the counts call for."""
+    loose = (F.col("null_rows") > 0) | (F.col("dangling_rows") > 0)
+    return F.concat(
+        F.when(F.col("unused_keys") > 0, F.lit("~")).otherwise(F.lit("")),
+        F.when(loose, F.lit("?")).otherwise(F.lit("")),
+    )
+
+
 def check_edges(catalog: Catalog) -> DataFrame:
-    """Types on both ends of every edge, its coverage and whether its flags suffice."""
-    reports = []
-    for edge in catalog.edges:
-        source, target = catalog.datasets[edge.source], catalog.datasets[edge.target]
-        left = [source.df.schema[c].dataType.simpleString() for c in edge.on]
-        right = [target.df.schema[c].dataType.simpleString() for c in edge.on.values()]
+    """Types on both ends of every edge, its coverage and whether its flags suffice.
+
+    Every table is scanned once for all edges it takes part in.
+    """
+    tables = {name: d.df for name, d in catalog.datasets.items()}
+    uses, facts = [], []
+    for tag, edge in enumerate(catalog.edges):
+        uses += edge_uses(tag, edge.source, edge.target, edge.on, tables)
+        left = [k.simpleString() for k in types_of(tables[edge.source], edge.on)]
+        right = [k.simpleString() for k in types_of(tables[edge.target], list(edge.on.values()))]
         declared = ("~" if edge.partial else "") + ("?" if edge.nullable else "")
-        report = check_fk(source.df, target.df, edge.on)
-        needed = F.col("modifier")
-        sufficient = F.lit(True)
-        for mark in "~?":
-            sufficient = sufficient & (~needed.contains(mark) | F.lit(mark in declared))
-        reports.append(
-            report.select(
-                F.lit(f"{edge.source}.{edge.name}").alias("edge"),
-                F.lit(",".join(left)).alias("source_type"),
-                F.lit(",".join(right)).alias("target_type"),
-                F.lit(left == right).alias("same_type"),
-                F.lit(declared).alias("declared"),
-                needed.alias("needed"),
-                sufficient.alias("sufficient"),
-            )
-        )
-    return reduce(DataFrame.unionByName, reports)
+        facts.append((tag, f"{edge.source}.{edge.name}", ",".join(left), ",".join(right), left == right, declared))
+    if not facts:
+        raise ValueError("the catalog has no edges")
+    spark = tables[catalog.edges[0].source].sparkSession
+    declared = spark.createDataFrame(
+        facts, "tag int, edge string, source_type string, target_type string, same_type boolean, declared string"
+    )
+    needed = F.col("needed")
+    sufficient = reduce(
+        lambda x, y: x & y, [~needed.contains(m) | F.col("declared").contains(m) for m in "~?"]
+    )
+    return declared.join(_fused(tables, uses), "tag", "left").select(
+        "edge", "source_type", "target_type", "same_type", "declared",
+        F.coalesce(_modifier(), F.lit("")).alias("needed"),
+    ).withColumn("sufficient", sufficient)
 
 
 def validate_catalog(catalog: Catalog) -> DataFrame:
@@ -134,103 +149,126 @@ def validate_catalog(catalog: Catalog) -> DataFrame:
     Rows ``(dataset, check, subject, violations)`` for values that do not fit
     their type, repeated grain or alternate keys, nulls in columns not declared
     nullable, values outside a domain, and references that need a flag the edge
-    does not have (counting rows for ``?`` and unused keys for ``~``).
+    does not have (counting rows for ``?`` and unused keys for ``~``).  Every table is
+    scanned once for all of these.
     """
-    found = []
+    tables = {name: d.df for name, d in catalog.datasets.items()}
+    uses, breaches, promises = [], [], []
 
-    def report(df: DataFrame, dataset: str, check, subject, violations) -> None:
-        found.append(
-            df.select(
-                F.lit(dataset).alias("dataset"),
-                (F.lit(check) if isinstance(check, str) else check).alias("check"),
-                subject.alias("subject"),
-                violations.cast("long").alias("violations"),
-            )
-        )
+    def promise(dataset: str, check: str, subject: str, count: str, tag: int | None = None) -> int:
+        tag = len(promises) if tag is None else tag
+        promises.append((tag, dataset, check, subject, count))
+        return tag
 
     for name, dataset in catalog.datasets.items():
-        if dataset.types:
-            misfits = F.col("not_null") - F.col("fitting")
-            strict = ~F.col("column").isin(*dataset.nullable) if dataset.nullable else F.lit(True)
-            nulls = F.when(strict, F.col("rows") - F.col("not_null")).otherwise(0)
-            both = F.array(
-                F.struct(F.lit("type").alias("kind"), misfits.alias("n")),
-                F.struct(F.lit("not null").alias("kind"), nulls.alias("n")),
-            )
-            columns = check_schema(dataset).select("column", F.inline(both))
-            report(columns, name, F.col("kind"), F.col("column"), F.col("n"))
+        actual = {f.name: f.dataType.simpleString() for f in dataset.df.schema.fields}
+        for column, kind in dataset.types.items():
+            present = column in actual
+            if present and actual[column] != kind:
+                misfit = F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
+                breaches.append((name, Breach(promise(name, "type", column, "fact_rows"), misfit)))
+            if column not in dataset.nullable:
+                missing = F.col(column).isNull() if present else F.lit(True)
+                breaches.append((name, Breach(promise(name, "not null", column, "fact_rows"), missing)))
         for check, keys in [("grain", dataset.grain), *[("alternate key", (k,)) for k in dataset.alternate_keys]]:
-            repeated = check_grain(dataset.df, keys).agg(F.count(F.lit(1)).alias("n"))
-            report(repeated, name, check, F.lit(",".join(keys)), F.col("n"))
+            tag = promise(name, check, ",".join(keys), "repeated")
+            uses.append((name, KeyUse(tag, DIM, tuple(keys), types_of(dataset.df, keys))))
         for column, values in dataset.domains.items():
-            outside = check_domain(dataset.df, column, values).agg(F.sum("rows").alias("n"))
-            report(outside, name, "domain", F.lit(column), F.coalesce("n", F.lit(0)))
+            outside = F.col(column).isNotNull() & ~F.col(column).isin(*values)
+            breaches.append((name, Breach(promise(name, "domain", column, "fact_rows"), outside)))
     for edge in catalog.edges:
-        promises = {}
+        if edge.nullable and edge.partial:
+            continue
+        tag = len(promises)
         if not edge.nullable:
-            promises["reference"] = F.col("null_rows") + F.col("dangling_rows")
+            promise(edge.source, "reference", edge.name, "loose_rows", tag)
         if not edge.partial:
-            promises["coverage"] = F.col("unused_keys")
-        if promises:  # both findings come from one comparison of the keys
-            cover = check_fk(
-                catalog.datasets[edge.source].df, catalog.datasets[edge.target].df, edge.on
-            )
-            each = [F.struct(F.lit(k).alias("kind"), n.alias("n")) for k, n in promises.items()]
-            rows = cover.select(F.inline(F.array(*each)))
-            report(rows, edge.source, F.col("kind"), F.lit(edge.name), F.col("n"))
-    return reduce(DataFrame.unionByName, found).filter("violations > 0")
-
-
-def _as_text(df: DataFrame, column: str) -> Column:
-    """Text that is equal for equal values of a column only; null stays null."""
-    value, kind = F.col(column), df.schema[column].dataType
-    if isinstance(kind, (T.FloatType, T.DoubleType)):
-        return (value + F.lit(0.0)).cast("string")  # one zero
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(value).cast("string")
-    if isinstance(kind, T.BinaryType):
-        return F.hex(value)
-    if isinstance(kind, (T.ArrayType, T.StructType)):
-        return F.when(value.isNotNull(), F.to_json(F.struct(value)))
-    return value.cast("string")
+            promise(edge.source, "coverage", edge.name, "unused_keys", tag)
+        uses += edge_uses(tag, edge.source, edge.target, edge.on, tables)
+    spark = next(iter(tables.values())).sparkSession
+    declared = spark.createDataFrame(promises, "tag int, dataset string, check string, subject string, count string")
+    found = _fused(tables, uses, breaches).withColumn("loose_rows", F.col("null_rows") + F.col("dangling_rows"))
+    kinds = ("fact_rows", "repeated", "loose_rows", "unused_keys")
+    violations = reduce(lambda rest, k: F.when(F.col("count") == k, F.col(k)).otherwise(rest), kinds, F.lit(0).cast("long"))
+    return (
+        declared.join(found, "tag")
+        .select("dataset", "check", "subject", violations.alias("violations"))
+        .filter("violations > 0")
+    )
+
+
+#: Registers of a distinct sketch (a power of two) and how many standard errors count as certain.
+SKETCH_BITS, SURE = 12, 10
 
 
 def _distinct_counts(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> list[int]:
     """Distinct combinations without nulls of each column set, in one pass over ``df``."""
-    items = [
-        F.struct(F.lit(i).alias("i"), F.array(*[_as_text(df, c) for c in names]).alias("values"))
-        for i, names in enumerate(sets)
-    ]
-    each = df.select(F.inline(F.array(*items))).filter(~F.exists("values", lambda v: v.isNull()))
-    counts = each.distinct().groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-    found = {r["i"]: r["n"] for r in counts.collect()}
+    uses = [KeyUse(i, DIM, names, types_of(df, names)) for i, names in enumerate(sets)]
+    counts = counts_by_tag([tagged_keys(df, uses)]).select("tag", "dim_keys")
+    found = {r["tag"]: r["dim_keys"] for r in counts.collect()}
     return [found.get(i, 0) for i in range(len(sets))]
 
 
+def _sketched(df: DataFrame, sets: Sequence[tuple[str, ...]], *more: Column) -> Row:
+    """Estimated distinct combinations ``e0, e1, ...`` of the sets, with ``more`` aggregates.
+
+    Sketches are merged across tasks; a row leaves one hash a set and is not copied.
+    """
+    texts = [F.xxhash64(*[as_text(F.col(c), df.schema[c].dataType) for c in names]) for names in sets]
+    sketches = [
+        F.hll_sketch_estimate(F.hll_sketch_agg(text, SKETCH_BITS)).alias(f"e{i}") for i, text in enumerate(texts)
+    ]
+    return df.agg(*sketches, *more).first()
+
+
+def _column_facts(df: DataFrame, columns: Sequence[str]) -> tuple[int, dict[str, int], dict[str, int]]:
+    """Row count, nulls and estimated distinct values of each column, in one pass."""
+    counts = [F.count(c).alias(f"n{i}") for i, c in enumerate(columns)]
+    found = _sketched(df, [(c,) for c in columns], F.count(F.lit(1)).alias("rows"), *counts)
+    nulls = {c: found.rows - found[f"n{i}"] for i, c in enumerate(columns)}
+    return found.rows, nulls, {c: found[f"e{i}"] or 0 for i, c in enumerate(columns)}
+
+
+def _exact_keys(df: DataFrame, sets: Sequence[tuple[str, ...]], rows: int, per_pass: int) -> list[tuple[str, ...]]:
+    """Those sets that have as many combinations as the table has rows."""
+    found = []
+    for low in range(0, len(sets), per_pass):
+        block = sets[low : low + per_pass]
+        found += [names for names, n in zip(block, _distinct_counts(df, block)) if n == rows]
+    return found
+
+
+def _enough(estimate: float, rows: int) -> bool:
+    """Whether an estimate leaves room for ``rows`` distinct combinations."""
+    return estimate * (1 + SURE * 1.04 / 2 ** (SKETCH_BITS / 2)) >= rows
+
+
 def candidate_keys(
     df: DataFrame, columns: Sequence[str], max_columns: int = 2, sets_per_pass: int = 100
 ) -> DataFrame:
     """Smallest column sets that identify a row: ``(key_columns, rows)``.
 
-    Sets are counted exactly, up to ``sets_per_pass`` in one pass.  Not counted are
-    only those that cannot be an answer: sets that contain a key, and sets whose
-    columns have fewer combinations of values than the table has rows.
+    Distinct combinations are first estimated by sketches, up to ``sets_per_pass`` sets
+    in one pass.  Counted exactly are the sets within ten standard errors of the row
+    count.  Left out are only those that cannot be an answer: sets with a column that
+    holds nulls, sets that contain a key, and sets with too few combinations.  In a
+    table without rows every single column is a key.
     """
     spark = df.sparkSession
-    rows, found, single = df.count(), [], {}
+    rows, nulls, single = _column_facts(df, columns)
+    found, full = [], [c for c in columns if not nulls[c]]
     for size in range(1, max_columns + 1):
         likely = [
             names
-            for names in combinations(columns, size)
+            for names in combinations(full, size)
             if not any(set(key) <= set(names) for key in found)
-            and (size == 1 or prod(single[c] for c in names) >= rows)
+            and _enough(prod(single[c] * (1 + SURE * 1.04 / 2 ** (SKETCH_BITS / 2)) for c in names), rows)
         ]
-        for low in range(0, len(likely), sets_per_pass):
-            block = likely[low : low + sets_per_pass]
-            counts = _distinct_counts(df, block)
-            if size == 1:
-                single |= {names[0]: n for names, n in zip(block, counts)}
-            found += [names for names, n in zip(block, counts) if n == rows]
+        if size > 1:
+            blocks = [likely[low : low + sets_per_pass] for low in range(0, len(likely), sets_per_pass)]
+            guessed = {names: e for block in blocks for names, e in zip(block, _sketched(df, block))}
+            likely = [names for names in likely if _enough(guessed[names] or 0, rows)]
+        found += _exact_keys(df, likely, rows, sets_per_pass)
     report = [(",".join(names), rows) for names in found]
     return spark.createDataFrame(report, "key_columns string, rows long")
 
@@ -238,23 +276,37 @@ def candidate_keys(
 def suggest_binding(df: DataFrame, references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Per column: null count, whether it is a key, and the modifier it needs.
 
-    ``references`` maps a column to ``(dimension, key)`` where it points to one.
+    ``references`` maps a column to ``(dimension, key)`` where it points to one.  The
+    table is scanned once for nulls and sketches and once for all exact counts, of
+    likely keys and of references together; each dimension is scanned once.
     """
-    keys = [r["key_columns"] for r in candidate_keys(df, df.columns, 1).collect()]
-    nulls = check_not_null(df, df.columns)
-    marks = [
-        check_fk(df, dim, {column: key}).select(F.lit(column).alias("column"), "modifier")
-        for column, (dim, key) in references.items()
+    rows, nulls, single = _column_facts(df, df.columns)
+    likely = [c for c in df.columns if not nulls[c] and _enough(single[c], rows)]
+    uses = [KeyUse(i, DIM, (c,), types_of(df, (c,))) for i, c in enumerate(df.columns) if c in likely]
+    passes, marked = [], {}
+    for tag, (column, (dim, key)) in enumerate(references.items(), start=len(df.columns)):
+        tables = {"fact": df, "dim": dim}
+        (_, use), (_, end) = edge_uses(tag, "fact", "dim", {column: key}, tables)
+        uses.append(use)
+        passes.append(tagged_keys(dim, [end]))
+        marked[tag] = column
+    found = {}
+    if uses:
+        counted = counts_by_tag([tagged_keys(df, uses), *passes]).withColumn("modifier", _modifier())
+        found = {r.tag: r for r in counted.collect()}
+    marks = {column: found[tag].modifier if tag in found else "" for tag, column in marked.items()}
+    report = [
+        (
+            c,
+            nulls[c],
+            rows,
+            c in likely and (found[i].dim_keys if i in found else 0) == rows,
+            marks.get(c, "?" if nulls[c] else ""),
+        )
+        for i, c in enumerate(df.columns)
     ]
-    out = align([nulls, *marks], ["column"])
-    own = F.when(F.col("nulls") > 0, F.lit("?")).otherwise(F.lit(""))
-    found = F.col("modifier") if marks else F.lit(None).cast("string")
-    return out.select(
-        "column",
-        "nulls",
-        "rows",
-        (F.col("column").isin(*keys) if keys else F.lit(False)).alias("is_key"),
-        F.coalesce(found, own).alias("modifier"),
+    return df.sparkSession.createDataFrame(
+        report, "column string, nulls long, rows long, is_key boolean, modifier string"
     )
 
 
