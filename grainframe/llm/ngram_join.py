@@ -45,9 +45,9 @@ from grainframe.llm.words import mix, shingle_sets, slices, words_of
 from grainframe.session import cut_lineage
 
 #: Token codes a shard holds at a time, about.
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 #: Token codes a map task gathers before it sends them, about.
-SLICE_TOKENS = 2_000_000
+SLICE_TOKENS = 1_000_000
 #: Sets a bucket of step 2's answers holds, about.
 BUCKET_SETS = 20_000
 #: Most entries of the table of frequent tokens.

@@ -26,8 +26,8 @@ from pyspark.sql import Window
 
 from grainframe.session import cut_lineage
 
-#: Words kept with their ids per Python worker; beyond it the memory is emptied.
-REMEMBERED = 800_000
+#: Words kept with their ids within a task; beyond it the memory is emptied.
+REMEMBERED = 400_000
 # Pre-tokens of the vocabulary for plain Latin words; other words go through the library whole.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PRE = re.compile(r" |'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 ]+")
@@ -53,6 +53,10 @@ class Codec:
         spell = self.model.pre_tokenizer.pre_tokenize_str
         plain = filter(_PLAIN.fullmatch, map(chr, range(256)))
         self.spelling = str.maketrans({c: spell(c)[0][0] for c in plain})
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of all words, so that a reused Python worker holds none between tasks."""
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {" ": _BORDER}
 
@@ -104,6 +108,12 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, end = _codec(tokenizer), np.uint32(end_id).tobytes()
+        try:
+            yield from pieces(batches, codec, end)
+        finally:
+            codec.forget()
+
+    def pieces(batches: Iterator[pa.RecordBatch], codec: Codec, end: bytes) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 64):
                 part = batch.slice(low, 64)
