@@ -29,12 +29,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component; repeated rows stay once.
 
-    Rows without an id cannot be named by another one and stay.
+    Rows are compared under numbers of their own, so rows without an id take part too:
+    one of them stays where its component has no row with an id.
     """
-    docs = docs.select(*COLUMNS)
-    first = similar_sets(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return named.unionByName(docs.where("doc_id is null")).select(*COLUMNS)
+    rows = cut_lineage(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    groups = similar_sets(rows.select(F.col("row").alias("doc_id"), "text"))
+    placed = rows.select("row", "doc_id").join(groups.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"))
+    return rows.join(first.select("first.row"), "row", "left_semi").select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
