@@ -39,15 +39,15 @@ from grainframe.operators.ordering import global_rank, row_id, running_total
 from grainframe.operators.projection import apply_filter, replace_columns, select_hidden
 from grainframe.operators.sets import topk, union_sides
 from grainframe.operators.spatial import points_in_polygons
-from grainframe.operators.windows import lagged, moving_avg, rank_entities, top_entities
+from grainframe.operators.windows import fill_periods, lagged, moving_avg, rank_entities, top_entities
 
 __all__ = [
-    "ancestors",
     "additive",
     "agg_by",
     "agg_native",
     "agg_of_agg",
     "align",
+    "ancestors",
     "apply_filter",
     "bridge",
     "collect_label",
@@ -61,6 +61,7 @@ __all__ = [
     "enrich_from_dim",
     "global_rank",
     "has_match",
+    "fill_periods",
     "headline",
     "keep_in",
     "keep_not_in",

@@ -91,7 +91,7 @@ def lagged(
 
     ``groups`` has one row per ``within`` group and value of ``order``, of which there
     may be any number: windows see blocks of ``block_rows`` rows and ``n`` border rows.
-    A period without a row is not counted: fill the calendar first where the growth
+    A period without a row is not counted: :func:`fill_periods` first where the growth
     must be per period.
     """
     along = Window.partitionBy("__block", *within).orderBy("__at")
@@ -115,3 +115,42 @@ def moving_avg(
     means = _blocks(groups, order, within, n - 1, block_rows).withColumn(out, F.avg(measure).over(frame))
     return means.filter("__own").drop("__at", "__block", "__own")
 
+
+
+PERIODS = ("hour", "day", "week", "month", "quarter", "year")
+
+
+def fill_periods(
+    groups: DataFrame, order: str, unit: str, within: Sequence[str] = (), fill: Mapping[str, object] | None = None
+) -> DataFrame:
+    """``groups`` with a row for every ``unit`` between the first and last period of each ``within`` group.
+
+    ``order`` is a date or timestamp cut to the unit; ``groups`` has one row per group and
+    period.  Added rows hold ``fill`` (null where it names no value).  Rows without a
+    period stay as they are, a group without any period gets none, and groups of null
+    are groups.  Only each group's ends are brought together; the periods between them
+    arise per group and those that exist are taken out by an anti join.
+    """
+    if unit not in PERIODS:
+        raise ValueError(f"unit must be one of {', '.join(PERIODS)}, not {unit!r}")
+    step = F.expr("interval 3 month" if unit == "quarter" else f"interval 1 {unit}")
+    ends = groups.groupBy(*within).agg(F.min(order).alias("__first"), F.max(order).alias("__last"))
+    names = {c: f"__g{i}" for i, c in enumerate(within)}
+    spine = ends.where("__first is not null").select(
+        *[F.col(c).alias(n) for c, n in names.items()],
+        F.explode(F.sequence("__first", "__last", step)).alias("__at"),
+    )
+    same = F.col("__at") == F.col(order)
+    for c, n in names.items():
+        same = same & F.col(n).eqNullSafe(F.col(c))
+    missing = spine.join(groups.select(order, *within), same, "left_anti")
+    kinds, given = dict(groups.dtypes), fill or {}
+    added = missing.select(
+        *[
+            F.col("__at").alias(c) if c == order
+            else F.col(names[c]).alias(c) if c in names
+            else F.lit(given.get(c)).cast(kinds[c]).alias(c)
+            for c in groups.columns
+        ]
+    )
+    return groups.unionByName(added)

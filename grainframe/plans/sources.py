@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from grainframe.catalog import Catalog, Dataset
 from grainframe.plans.registry import query
 from grainframe.plans.tables import SCHEMAS, Tables
 from grainframe.session import scratch_path
@@ -14,6 +15,8 @@ from grainframe.sources import (
     bind,
     bind_nested,
     csv_to_parquet,
+    distinct_read,
+    distinct_write,
     export,
     freshness,
     load,
@@ -21,6 +24,7 @@ from grainframe.sources import (
     materialize,
     pick_source,
     refresh,
+    refresh_partitions,
     rollup_read,
     rollup_write,
     scan_csv,
@@ -330,6 +334,38 @@ def rollup_reaggregate(t: Tables) -> DataFrame:
     return yearly.withColumn("total_price", F.round("total_price", 2))
 
 
+_YEARLY_CUSTOMERS = """SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year,
+              count(DISTINCT o_custkey) AS customers FROM orders GROUP BY 1"""
+
+
+@query("rollup_distinct", _YEARLY_CUSTOMERS)
+def rollup_distinct(t: Tables) -> DataFrame:
+    """Customers per year from stored (day, priority, customer) pairs; plain daily counts could not tell."""
+    dims = {"order_date": F.to_date("o_orderdate"), "priority": F.col("o_orderpriority")}
+    pairs = distinct_write(t.orders, dims, F.col("o_custkey"), scratch_path(t.spark, "orders-customers"))
+    return distinct_read(pairs, {"order_year": F.year("order_date")}, "customers")
+
+
+@query(
+    "rollup_distinct_sketch",
+    f"SELECT order_year, true AS within_error FROM ({_YEARLY_CUSTOMERS})",
+)
+def rollup_distinct_sketch(t: Tables) -> DataFrame:
+    """The same from daily sketches, within five standard errors of the exact count."""
+    sketches = rollup_write(
+        t.orders,
+        {"order_date": F.to_date("o_orderdate")},
+        {"customers": RollupMeasure("sketch", F.col("o_custkey"))},
+        scratch_path(t.spark, "orders-sketches"),
+    )
+    year = {"order_year": F.year("order_date")}
+    guess = rollup_read(sketches, year, {"customers": "sketch"}).withColumnRenamed("customers", "guess")
+    error = F.abs(F.col("guess") - F.col("customers")) / F.col("customers")
+    return rollup_distinct(t).join(guess, "order_year").select(
+        "order_year", (error <= 5 * 1.04 / 2**6).alias("within_error")
+    )
+
+
 @query(
     "complete_where",
     """SELECT l_linestatus, count(*) AS rows_returned, round(sum(l_quantity), 2) AS quantity
@@ -372,6 +408,48 @@ def refresh_stale(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "refresh_partitions",
+    """SELECT strftime(o_orderdate, '%Y-%m') AS order_month, o_orderpriority, count(*) AS orders,
+              round(sum(o_totalprice), 2) AS total_price, max(o_orderdate) AS newest
+       FROM orders GROUP BY 1, 2""",
+)
+def refresh_partitions_monthly(t: Tables) -> DataFrame:
+    """A monthly table built up to mid 1997 and then brought up to date, from its last month on."""
+    path = scratch_path(t.spark, "orders-monthly")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+
+    def build(orders: DataFrame) -> DataFrame:
+        return orders.groupBy("o_orderpriority", month.alias("order_month")).agg(
+            F.count(F.lit(1)).alias("orders"),
+            F.round(F.sum("o_totalprice"), 2).alias("total_price"),
+            F.max("o_orderdate").alias("newest"),
+        )
+
+    early = t.orders.filter(F.col("o_orderdate") < F.lit("1997-06-15").cast("timestamp_ntz"))
+    for source in (early, t.orders):
+        stored = refresh_partitions(source, path, "o_orderdate", ("order_month", month), build)
+    return stored
+
+
+@query(
+    "catalog_views",
+    """SELECT n_name, count(*) AS orders, round(sum(o_totalprice), 2) AS total_price
+       FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+       WHERE o_orderstatus = 'F' GROUP BY n_name""",
+)
+def catalog_views(t: Tables) -> DataFrame:
+    """Tables of a model registered as SQL views and asked in SQL."""
+    model = Catalog()
+    for name, key in (("orders", "o_orderkey"), ("customer", "c_custkey"), ("nation", "n_nationkey")):
+        model.register(Dataset(name, getattr(t, name), (key,)), view=True)
+    return t.spark.sql(
+        """SELECT n_name, count(*) AS orders, round(sum(o_totalprice), 2) AS total_price
+           FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+           WHERE o_orderstatus = 'F' GROUP BY n_name"""
+    )
+
+
 @query(
     "json_lookup",
     """SELECT DISTINCT 'k' AS code, json_extract_string(props, '$.k') AS label FROM events""",

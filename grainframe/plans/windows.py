@@ -9,6 +9,7 @@ from grainframe.functions import month_start
 from grainframe.operators import (
     count_rows,
     enrich,
+    fill_periods,
     lagged,
     moving_avg,
     rank_entities,
@@ -119,6 +120,49 @@ def moving_average(t: Tables) -> DataFrame:
     return out.withColumn("orders_ma5", F.round("orders_ma5", 6))
 
 
+_GAPPED = """WITH g AS (SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
+                         count(*) AS orders FROM orders
+                  WHERE month(o_orderdate) NOT IN (2, 7) OR o_orderpriority = '1-URGENT' GROUP BY 1, 2),
+            ends AS (SELECT o_orderpriority, min(order_month) AS a, max(order_month) AS b FROM g GROUP BY 1),
+            f AS (SELECT e.o_orderpriority, CAST(e.m AS DATE) AS order_month, coalesce(g.orders, 0) AS orders
+                  FROM (SELECT o_orderpriority, unnest(generate_series(a, b, INTERVAL 1 MONTH)) AS m FROM ends) e
+                  LEFT JOIN g ON g.o_orderpriority = e.o_orderpriority AND g.order_month = e.m)"""
+
+
+def _gapped_months(t: Tables) -> DataFrame:
+    """Orders per priority and month; all but one priority lack two months a year, which are filled with 0."""
+    kept = ~F.month("o_orderdate").isin(2, 7) | (F.col("o_orderpriority") == "1-URGENT")
+    months = t.orders.filter(kept).groupBy(
+        "o_orderpriority", month_start(F.col("o_orderdate")).alias("order_month")
+    ).agg(count_rows().alias("orders"))
+    return fill_periods(months, "order_month", "month", ["o_orderpriority"], {"orders": 0})
+
+
+@query(
+    "growth_by_calendar_month",
+    _GAPPED
+    + """, l AS (SELECT *, lag(orders) OVER (PARTITION BY o_orderpriority ORDER BY order_month) AS previous FROM f)
+       SELECT o_orderpriority, order_month, orders, previous,
+              (orders - previous) * 100 / nullif(previous, 0)::DOUBLE AS orders_growth_pct FROM l""",
+)
+def growth_by_calendar_month(t: Tables) -> DataFrame:
+    """Growth against the month before, also where a month has no orders."""
+    return lagged(_gapped_months(t), "orders", "order_month", within=["o_orderpriority"])
+
+
+@query(
+    "moving_avg_by_calendar_month",
+    _GAPPED
+    + """SELECT o_orderpriority, order_month, orders,
+              round(avg(orders) OVER (PARTITION BY o_orderpriority ORDER BY order_month
+                                      ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS orders_ma3 FROM f""",
+)
+def moving_avg_by_calendar_month(t: Tables) -> DataFrame:
+    """Mean over three calendar months."""
+    out = moving_avg(_gapped_months(t), "orders", "order_month", 3, ["o_orderpriority"], out="orders_ma3")
+    return out.withColumn("orders_ma3", F.round("orders_ma3", 6))
+
+
 @query(
     "row_id",
     """SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS row_id FROM orders""",

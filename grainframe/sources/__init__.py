@@ -5,9 +5,12 @@ from grainframe.sources.lookup import lookup_from_json
 from grainframe.sources.quoted import infer_types, quoted_records, quoted_to_parquet, scan_quoted
 from grainframe.sources.rollup import (
     RollupMeasure,
+    distinct_read,
+    distinct_write,
     freshness,
     pick_source,
     refresh,
+    refresh_partitions,
     rollup_read,
     rollup_write,
 )
@@ -28,6 +31,8 @@ __all__ = [
     "bind",
     "bind_nested",
     "csv_to_parquet",
+    "distinct_read",
+    "distinct_write",
     "export",
     "freshness",
     "infer_types",
@@ -39,6 +44,7 @@ __all__ = [
     "quoted_records",
     "quoted_to_parquet",
     "refresh",
+    "refresh_partitions",
     "rollup_read",
     "rollup_write",
     "scan_csv",
