@@ -15,6 +15,8 @@ from itertools import takewhile
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainframe.functions.conditions import ratio
+from grainframe.functions.traits import combined_unit
 from grainframe.operators.joins import align
 from grainframe.operators.ordering import Order, sort_columns
 
@@ -66,20 +68,45 @@ class Measure:
     ``build`` gets one ``Column`` per path.  All paths must lie on one dataset,
     whose grain is the native grain of the measure: attributes of a dimension
     are taken once per dimension key within each group of the result.
-    ``empty`` is the value for groups without facts.
+    ``empty`` is the value for groups without facts.  ``unit`` names the rule by which
+    the units of the columns combine (see ``functions.combined_unit``); without one the
+    result has no unit.
     """
 
     paths: tuple[str, ...]
     build: Callable[..., Column]
     empty: int | None = None
+    unit: str | None = None
 
     @staticmethod
     def sum(path: str) -> "Measure":
-        return Measure((path,), F.sum)
+        return Measure((path,), F.sum, unit="sum")
+
+    @staticmethod
+    def avg(path: str) -> "Measure":
+        return Measure((path,), F.avg, unit="sum")
+
+    @staticmethod
+    def min(path: str) -> "Measure":
+        return Measure((path,), F.min, unit="sum")
+
+    @staticmethod
+    def max(path: str) -> "Measure":
+        return Measure((path,), F.max, unit="sum")
 
     @staticmethod
     def count_keys(path: str) -> "Measure":
-        return Measure((path,), F.count_distinct, empty=0)
+        return Measure((path,), F.count_distinct, empty=0, unit="count")
+
+    @staticmethod
+    def ratio(over: str, under: str) -> "Measure":
+        """Sum over sum; null where the lower sum is zero."""
+        return Measure((over, under), lambda a, b: ratio(F.sum(a), F.sum(b)), unit="ratio")
+
+    @staticmethod
+    def product(left: str, right: str) -> "Measure":
+        """Sum of products."""
+        return Measure((left, right), lambda a, b: F.sum(a * b), unit="product")
 
 
 Filter = tuple[str | Sequence[str], Callable[..., Column]]
@@ -264,6 +291,7 @@ def star_select(
         out = align([f.withColumn("__one", F.lit(1)) for f in frames], ["__one"]).drop("__one")
     zeros = {n: m.empty for n, m in measures.items() if m.empty is not None}
     out = out.fillna(zeros) if zeros else out
+    out = out.select(*_with_units(catalog, root, groups, sources))
     out = out.select(*groups, *measures)
     if having is not None:
         out = out.filter(having)
@@ -272,6 +300,21 @@ def star_select(
     return out.limit(limit) if limit is not None else out
 
 
+def _with_units(catalog: Catalog, root: str, groups: Mapping, sources: Mapping) -> list[Column]:
+    """Output columns with their unit as a trait: that of the column, or what its measure's rule gives."""
+    routes = catalog._routes(root)
+
+    def unit_of(place: tuple[tuple[str, ...], str]) -> str | None:
+        route, column = place
+        return catalog.datasets[routes[route][-1].target if route else root].traits.get(column)
+
+    units = {out: unit_of(place) for out, place in groups.items()}
+    for wanted in sources.values():
+        for out, (measure, places) in wanted.items():
+            units[out] = combined_unit(measure.unit, *map(unit_of, places)) if measure.unit else None
+    return [F.col(out).alias(out, metadata={"trait": unit}) if unit else F.col(out) for out, unit in units.items()]
+
+
 def _kept(catalog: Catalog, root: str, groups: Mapping, filters: Sequence) -> list[tuple[str, ...]]:
     """Routes of the datasets whose members stay without facts.
 

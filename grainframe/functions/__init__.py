@@ -32,9 +32,13 @@ from grainframe.functions.dates import (
 from grainframe.functions.geometry import (
     box_ring,
     in_ring,
+    in_rings,
     ring_area,
     ring_bounds,
     ring_centroid,
+    rings_area,
+    rings_bounds,
+    rings_centroid,
 )
 from grainframe.functions.strings import (
     capital_first,
@@ -44,9 +48,10 @@ from grainframe.functions.strings import (
     split_part,
     strip_flag,
 )
-from grainframe.functions.traits import register_trait, tag, traits
+from grainframe.functions.traits import combined_unit, register_trait, tag, traits
 
 __all__ = [
+    "combined_unit",
     "add_units",
     "age_bucket",
     "band",
@@ -64,6 +69,7 @@ __all__ = [
     "hash_color",
     "holiday_label",
     "in_ring",
+    "in_rings",
     "julian_to_date",
     "month_start",
     "only_if",
@@ -73,6 +79,9 @@ __all__ = [
     "ring_area",
     "ring_bounds",
     "ring_centroid",
+    "rings_area",
+    "rings_bounds",
+    "rings_centroid",
     "root_domain",
     "sort_desc",
     "split_part",

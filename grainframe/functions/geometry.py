@@ -1,4 +1,9 @@
-"""Planar polygon measures over rings, ``array<struct<x,y>>`` without a closing point."""
+"""Planar polygon measures over rings, ``array<struct<x,y>>`` without a closing point.
+
+A polygon of several rings, ``array`` of rings, may have parts and holes, and parts within
+holes.  A point is inside by the even-odd rule over all rings, whatever their order and
+direction.  Rings of one polygon do not cross.
+"""
 
 from __future__ import annotations
 
@@ -84,3 +89,57 @@ def box_ring(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
         return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
     return F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1))
+
+
+def rings_edges(rings: Column) -> Column:
+    """Edges of all rings; with :func:`edges_around` the even-odd test of the polygon."""
+    return F.flatten(F.transform(rings, ring_edges))
+
+
+def in_rings(rings: Column, x: Column, y: Column) -> Column:
+    """True if the point lies inside a polygon of several rings."""
+    return edges_around(rings_edges(rings), x, y)
+
+
+def rings_bounds(rings: Column) -> Column:
+    """Bounding box of all rings."""
+    return ring_bounds(F.flatten(rings))
+
+
+def _ring_signs(rings: Column) -> Column:
+    """1 for a ring that bounds a part, -1 for a hole: by how many other rings hold its first point."""
+
+    def sign(ring: Column, i: Column) -> Column:
+        start = F.get(ring, F.lit(0))
+        holders = F.transform(
+            rings, lambda other, j: (i != j) & in_ring(other, start.getField("x"), start.getField("y"))
+        )
+        return F.when(F.aggregate(holders, F.lit(False), lambda odd, h: odd != h), -1.0).otherwise(1.0)
+
+    return F.transform(rings, sign)
+
+
+def rings_area(rings: Column) -> Column:
+    """Planar area of a polygon of several rings, holes taken off."""
+    areas = F.zip_with(rings, _ring_signs(rings), lambda ring, sign: ring_area(ring) * sign)
+    return F.aggregate(areas, F.lit(0.0), lambda total, a: total + a)
+
+
+def rings_centroid(rings: Column) -> Column:
+    """Planar centroid ``struct<x,y>`` of a polygon of several rings; null without area."""
+    weighed = F.zip_with(
+        rings,
+        _ring_signs(rings),
+        lambda ring, sign: F.struct((ring_area(ring) * sign).alias("a"), ring_centroid(ring).alias("c")),
+    )
+    total = F.aggregate(weighed, F.lit(0.0), lambda sum_, w: sum_ + w.getField("a"))
+
+    def axis(name: str) -> Column:
+        moment = F.aggregate(
+            weighed,
+            F.lit(0.0),
+            lambda sum_, w: sum_ + F.coalesce(w.getField("a") * w.getField("c").getField(name), F.lit(0.0)),
+        )
+        return F.try_divide(moment, total)
+
+    return F.struct(axis("x").alias("x"), axis("y").alias("y"))

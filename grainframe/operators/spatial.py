@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-from grainframe.functions.geometry import edges_around, ring_bounds, ring_edges
+from grainframe.functions.geometry import edges_around, ring_bounds, ring_edges, rings_bounds, rings_edges
 
 # Levels below the one whose cells are as wide as the polygon's box.
 _FINER = 2
@@ -15,6 +16,19 @@ def _cell(value: Column, level: Column, cell: float) -> Column:
     return F.floor(value / (F.lit(cell) * F.pow(F.lit(2.0), level))).cast("long")
 
 
+# Part of a cell by which it is taken larger, so that rounding cannot put a point outside it.
+_SLACK = 1e-6
+
+
+def _facing(edges: Column, cx: Column, cy: Column, width: Column) -> Column:
+    """Edges that a ray to the right from a point of the cell can meet."""
+    low, high, left = (cy - _SLACK) * width, (cy + 1 + _SLACK) * width, (cx - _SLACK) * width
+    return F.filter(
+        edges,
+        lambda e: (F.greatest(e.a.y, e.b.y) >= low) & (F.least(e.a.y, e.b.y) <= high) & (F.greatest(e.a.x, e.b.x) >= left),
+    )
+
+
 def points_in_polygons(
     points: DataFrame,
     polygons: DataFrame,
@@ -31,11 +45,15 @@ def points_in_polygons(
     and high, so it touches at most 25 cells however large it is, and the join
     is an equi join on cells with a box and a ring test.  Points look only at
     levels that hold polygons.  ``cell`` is the width of the finest cells; a
-    size near the smallest polygon works best.  The two sides share no column
-    names.  ``how="left"`` keeps points without a polygon and needs a unique
+    size near the smallest polygon works best.  ``ring`` is one ring or an array of
+    rings, with parts and holes.  A cell keeps the edges that a ray from it to the right
+    can meet; cells that no edge touches are known to lie inside, and then need no
+    ring test, or outside, and are left out.  The two sides share no column names.  ``how="left"`` keeps points without a polygon and needs a unique
     ``point_key``.
     """
-    bounds = polygons.withColumn("__box", ring_bounds(F.col(ring)))
+    several = isinstance(polygons.schema[ring].dataType.elementType, ArrayType)
+    box, edges = (rings_bounds, rings_edges) if several else (ring_bounds, ring_edges)
+    bounds = polygons.withColumn("__box", box(F.col(ring)))
     span = F.greatest(
         F.col("__box.x1") - F.col("__box.x0"), F.col("__box.y1") - F.col("__box.y0"), F.lit(cell)
     )
@@ -52,7 +70,15 @@ def points_in_polygons(
         "__cy", F.explode(touched("__box.y0", "__box.y1"))
     )
     cells = cells.withColumnRenamed("__level", "__poly_level")
-    cells = cells.withColumn("__edges", ring_edges(F.col(ring))).drop(ring)
+    width = F.lit(cell) * F.pow(F.lit(2.0), F.col("__poly_level"))
+    cells = cells.withColumns({"__edges": edges(F.col(ring)), "__width": width})
+    cells = cells.withColumn("__edges", _facing(F.col("__edges"), F.col("__cx"), F.col("__cy"), F.col("__width"))).drop(ring)
+    middle = [(F.col(c) + 0.5) * F.col("__width") for c in ("__cx", "__cy")]
+    touched_by = F.exists("__edges", lambda e: F.least(e.a.x, e.b.x) <= (F.col("__cx") + 1 + _SLACK) * F.col("__width"))
+    cells = cells.withColumns({"__whole": ~touched_by, "__middle": edges_around(F.col("__edges"), *middle)})
+    cells = cells.where("not __whole or __middle").withColumn(
+        "__edges", F.when(~F.col("__whole"), F.col("__edges"))
+    ).drop("__middle", "__width")
 
     levels = filed.agg(F.array_sort(F.collect_set("__level"))).scalar()
     spots = points.withColumn("__level", F.explode(levels))
@@ -63,7 +89,7 @@ def points_in_polygons(
         & (_cell(F.col(y), F.col("__level"), cell) == F.col("__cy"))
         & F.col(x).between(F.col("__box.x0"), F.col("__box.x1"))
         & F.col(y).between(F.col("__box.y0"), F.col("__box.y1"))
-        & edges_around(F.col("__edges"), F.col(x), F.col(y)),
+        & (F.col("__whole") | edges_around(F.col("__edges"), F.col(x), F.col(y))),
     )
     found = [c for c in polygons.columns if c != ring]
     if how == "inner":

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from grainframe.catalog import Catalog, Measure, star_select
@@ -531,3 +531,39 @@ def point_in_polygon_left(t: Tables) -> DataFrame:
     )
     joined = points_in_polygons(points, _zones(t), cell=1000.0, point_key="p_partkey", how="left")
     return joined.select("p_partkey", "zone_name")
+
+
+# Zones of two parts, the first with a hole: outer box, hole, second part.
+_RINGS = """(SELECT 'ring' AS zone_name, 0 AS x0, 0 AS y0, 40000 AS x1, 60000 AS y1, 10000 AS hx0, 20000 AS hy0,
+                    30000 AS hx1, 50000 AS hy1, 45000 AS px0, 10000 AS py0, 50000 AS px1, 90000 AS py1
+             UNION ALL SELECT 'low', 5000, 5000, 20000, 15000, 8000, 7000, 12000, 9000, 30000, 5000, 45000, 8000)"""
+
+
+def _ring_zones(t: Tables) -> DataFrame:
+    def box(*at: float) -> Column:
+        return box_ring(*[F.lit(float(v)) for v in at])
+
+    zones = [
+        ("ring", (0, 0, 40000, 60000), (10000, 20000, 30000, 50000), (45000, 10000, 50000, 90000)),
+        ("low", (5000, 5000, 20000, 15000), (8000, 7000, 12000, 9000), (30000, 5000, 45000, 8000)),
+    ]
+    frames = [
+        t.spark.range(1).select(F.lit(name).alias("zone_name"), F.array(box(*hole), box(*outer), box(*part)).alias("rings"))
+        for name, outer, hole, part in zones
+    ]
+    return frames[0].unionByName(frames[1])
+
+
+@query(
+    "point_in_rings",
+    f"""SELECT z.zone_name, count(*) AS lines
+        FROM (SELECT l_quantity * 1000 AS x, l_extendedprice AS y FROM lineitem) l JOIN {_RINGS} z
+          ON (x >= x0 AND x < x1 AND y >= y0 AND y < y1 AND NOT (x >= hx0 AND x < hx1 AND y >= hy0 AND y < hy1))
+          OR (x >= px0 AND x < px1 AND y >= py0 AND y < py1)
+        GROUP BY 1""",
+)
+def point_in_rings(t: Tables) -> DataFrame:
+    """Line items as points (quantity, price) in zones of two parts, one part with a hole."""
+    points = t.lineitem.select((F.col("l_quantity") * 1000).alias("x"), F.col("l_extendedprice").alias("y"))
+    inside = points_in_polygons(points, _ring_zones(t), cell=1000.0, ring="rings")
+    return inside.groupBy("zone_name").agg(count_rows().alias("lines"))

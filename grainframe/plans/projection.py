@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from grainframe.catalog import Measure, star_select
 from grainframe.functions import age_bucket, case_map, only_if, ratio, tag, traits
 from grainframe.functions.conditions import AGE_BANDS
 from grainframe.operators import (
@@ -20,7 +21,7 @@ from grainframe.operators import (
     select_hidden,
 )
 from grainframe.plans.registry import query
-from grainframe.plans.tables import Tables
+from grainframe.plans.tables import Tables, star
 
 
 def discounted() -> Column:
@@ -396,6 +397,40 @@ def trait_report(t: Tables) -> DataFrame:
     return tagged.agg(F.array(*items).alias("report")).select(F.inline("report"))
 
 
+@query(
+    "star_select_units",
+    """WITH g AS (SELECT l_returnflag, sum(l_extendedprice) AS price, sum(l_extendedprice) / sum(l_quantity) AS per_piece,
+                         count(DISTINCT l_orderkey) AS orders FROM lineitem GROUP BY 1)
+       SELECT 'price' AS column_name, 'usd' AS trait, count(price) AS filled FROM g
+       UNION ALL SELECT 'taxed', 'usd', count(price) FROM g
+       UNION ALL SELECT 'mean_tax', 'percent', count(price) FROM g
+       UNION ALL SELECT 'per_piece', 'usd', count(per_piece) FROM g
+       UNION ALL SELECT 'per_discount', 'usd/percent', count(price) FROM g
+       UNION ALL SELECT 'orders', 'count', count(orders) FROM g""",
+)
+def star_select_units(t: Tables) -> DataFrame:
+    """Units of aggregates, from those of the columns they are made of."""
+    found = star_select(
+        star(t),
+        "lineitem",
+        dims={"l_returnflag": "l_returnflag"},
+        measures={
+            "price": Measure.sum("l_extendedprice"),
+            "taxed": Measure.product("l_extendedprice", "l_tax"),
+            "mean_tax": Measure.avg("l_tax"),
+            "per_piece": Measure.ratio("l_extendedprice", "l_quantity"),
+            "per_discount": Measure.ratio("l_extendedprice", "l_discount"),
+            "same": Measure.ratio("l_extendedprice", "l_extendedprice"),
+            "orders": Measure.count_keys("l_orderkey"),
+        },
+    )
+    items = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(trait).alias("trait"), F.count(c).alias("filled"))
+        for c, trait in traits(found).items()
+    ]
+    return found.agg(F.array(*items).alias("report")).select(F.inline("report"))
+
+
 POST_LINK = "https://example.org/orders/"
 
 

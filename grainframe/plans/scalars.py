@@ -22,6 +22,8 @@ from grainframe.functions import (
     regexp_group,
     ring_area,
     ring_centroid,
+    rings_area,
+    rings_centroid,
     root_domain,
     sort_desc,
     split_part,
@@ -376,6 +378,38 @@ def polygon_measures(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "rings_measures",
+    """SELECT c_nationkey, round(w * h * 1.75, 2) AS area,
+              round((w * h * (x0 + w / 2) * 0.75 + w * h * (x0 + w * 2.5)) / (w * h * 1.75), 4) AS center_x,
+              round(y0 + h / 2, 4) AS center_y
+       FROM (SELECT *, x1 - x0 AS w, y1 - y0 AS h
+             FROM (SELECT c_nationkey, CAST(min(c_custkey) AS DOUBLE) AS x0, CAST(max(c_custkey) + 1 AS DOUBLE) AS x1,
+                          min(c_acctbal) AS y0, max(c_acctbal) + 1 AS y1 FROM customer GROUP BY 1))""",
+)
+def rings_measures(t: Tables) -> DataFrame:
+    """Each nation's box with a hole in its middle, and a second part beside it."""
+    boxes = t.customer.groupBy("c_nationkey").agg(
+        F.min("c_custkey").cast("double").alias("x0"),
+        F.min("c_acctbal").alias("y0"),
+        (F.max("c_custkey") + 1).cast("double").alias("x1"),
+        (F.max("c_acctbal") + 1).alias("y1"),
+    )
+    x0, y0, x1, y1 = (F.col(c) for c in ("x0", "y0", "x1", "y1"))
+    w, h = x1 - x0, y1 - y0
+    rings = F.array(
+        box_ring(x0 + w / 4, y0 + h / 4, x1 - w / 4, y1 - h / 4), box_ring(x0, y0, x1, y1), box_ring(x1 + w, y0, x1 + w * 2, y1)
+    )
+    shaped = boxes.select("c_nationkey", rings.alias("rings"))
+    center = rings_centroid(F.col("rings"))
+    return shaped.select(
+        "c_nationkey",
+        F.round(rings_area(F.col("rings")), 2).alias("area"),
+        F.round(center.getField("x"), 4).alias("center_x"),
+        F.round(center.getField("y"), 4).alias("center_y"),
+    )
+
+
 @query(
     "calc_percent",
     """SELECT o_orderpriority,

@@ -7,6 +7,7 @@ from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from grainframe.catalog import Catalog, Dataset, Edge, Measure, star_select
+from grainframe.functions import combined_unit, traits
 from grainframe.operators import apply_filter, count_rows, enrich, replace_columns, select_hidden
 from grainframe.plans.tables import Tables, star
 from grainframe.quality import check_edges
@@ -316,3 +317,22 @@ def test_members_behind_a_nullable_edge_of_a_partial_chain(spark):
     sales = Measure(("sale_id",), F.count, empty=0)
     out = star_select(catalog, "sale", {"town": "shop.town.town"}, {"sales": sales})
     assert {tuple(r) for r in out.collect()} == {("a", 1), ("b", 0), (None, 0)}
+
+
+def test_units_of_aggregates(spark, folder):
+    model = star(Tables(spark, folder))
+    kept = star_select(model, "lineitem", {"l_tax": "l_tax"}, {"least": Measure.min("l_extendedprice"), "most": Measure.max("l_extendedprice")})
+    assert traits(kept) == {"l_tax": "percent", "least": "usd", "most": "usd"}
+    added = Measure(("l_extendedprice", "l_tax"), lambda a, b: F.sum(a + b), unit="sum")
+    with pytest.raises(ValueError, match="different units"):
+        star_select(model, "lineitem", {}, {"mixed": added})
+    plain = star_select(model, "lineitem", {}, {"n": Measure(("l_tax",), F.count)})
+    assert traits(plain) == {}
+
+
+def test_unit_rules():
+    assert combined_unit("ratio", "usd", "usd") is None and combined_unit("ratio", None, "kg") == "1/kg"
+    assert combined_unit("product", "usd", "percent") == "usd" and combined_unit("product", "percent", None) == "percent"
+    assert combined_unit("product", "m", "kg") == "kg*m" and combined_unit("sum") is None
+    with pytest.raises(ValueError):
+        combined_unit("mean", "usd")

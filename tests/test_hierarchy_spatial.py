@@ -1,12 +1,13 @@
 """Hierarchies and polygons against brute force."""
 
+import math
 import random
 
 import pytest
 from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
-from grainframe.functions import box_ring, in_ring, ring_area, ring_centroid
+from grainframe.functions import box_ring, in_ring, in_rings, ring_area, ring_centroid, rings_area, rings_centroid
 from grainframe.operators import ancestors, points_in_polygons, root_of
 
 
@@ -105,6 +106,54 @@ def test_polygons_of_all_sizes_equal_brute_force(spark):
     assert "CartesianProduct" not in plan_of(inner) and "NestedLoop" not in plan_of(inner)
 
 
+def _box(x0, y0, x1, y1):
+    return [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+
+
+def test_rings_with_holes_and_parts(spark):
+    """Two parts, one with a hole that holds an island; rings in any order and direction."""
+    hole = _box(2.0, 2.0, 8.0, 8.0)[::-1]
+    rings = [hole, _box(0.0, 0.0, 10.0, 10.0), _box(20.0, 0.0, 24.0, 2.0)[::-1], _box(4.0, 4.0, 6.0, 6.0)]
+    flat = [[(0.0, 0.0), (1.0, 1.0)]]
+    df = spark.createDataFrame([(1, rings), (2, flat), (3, [_box(0.0, 0.0, 2.0, 2.0)])], f"i int, rings array<{RING}>")
+    got = df.select("i", rings_area(F.col("rings")).alias("a"), rings_centroid(F.col("rings")).alias("c"))
+    found = {r["i"]: (r["a"], r["c"]["x"], r["c"]["y"]) for r in got.collect()}
+    area = 100 - 36 + 8 + 4
+    assert found[1][0] == area and found[2] == (0.0, None, None) and found[3] == (4.0, 1.0, 1.0)
+    assert found[1][1:] == pytest.approx(((500 - 180 + 22 * 8 + 20) / area, (500 - 180 + 8 + 20) / area))
+    spots = [(x / 2, y / 2) for x in range(-2, 52) for y in range(-2, 24)]
+
+    def held(x, y):
+        within = [x0 <= x < x1 and y0 <= y < y1 for x0, y0, x1, y1 in ((2, 2, 8, 8), (0, 0, 10, 10), (20, 0, 24, 2), (4, 4, 6, 6))]
+        return sum(within) % 2 == 1
+
+    points = spark.createDataFrame(spots, "x double, y double")
+    one = df.where("i = 1")
+    expected = sorted(p for p in spots if held(*p))
+    for cell in (0.3, 1.0, 7.0, 100.0):
+        assert rows(points_in_polygons(points, one, cell, ring="rings"), "x", "y") == expected
+    tested = points.crossJoin(one).where(in_rings(F.col("rings"), F.col("x"), F.col("y")))
+    assert rows(tested, "x", "y") == expected
+
+
+def test_random_ring_sets_equal_brute_force(spark):
+    rng = random.Random(7)
+    polygons = []
+    for i in range(25):
+        size, rings = rng.choice([0.5, 5, 60]), []
+        cx, cy = rng.uniform(-50, 50), rng.uniform(-50, 50)
+        for k in range(rng.choice([1, 2, 3])):  # each ring inside the one before
+            shrink = size / (k + 1)
+            angles = sorted(rng.uniform(0, 6.283) for _ in range(7))
+            rings.append([(cx + shrink * math.cos(a), cy + shrink * math.sin(a)) for a in angles])
+        polygons.append((i, rings))
+    spots = [(k, rng.uniform(-70, 70), rng.uniform(-70, 70)) for k in range(600)]
+    points = spark.createDataFrame(spots, "k int, x double, y double")
+    polys = spark.createDataFrame(polygons, f"poly int, ring array<{RING}>")
+    expected = [(k, i) for k, x, y in spots for i, rings in polygons if sum(_inside(r, x, y) for r in rings) % 2]
+    assert rows(points_in_polygons(points, polys, cell=0.5), "k", "poly") == sorted(expected)
+
+
 def test_in_ring_is_false_outside(spark):
     df = spark.createDataFrame([(5.0, 5.0), (1.0, 1.0)], "x double, y double")
     ring = box_ring(F.lit(0), F.lit(0), F.lit(2), F.lit(2))
