@@ -8,15 +8,18 @@ next header, and synthesises what WARC adds: record ids (from address, time and
 so a second run gives the same), ISO times, record types, block and payload digests.
 
 Payloads of at least ``REVISIT_BYTES`` that are equal are stored once, as the response
-of the greatest record key; the others become revisits that refer to it.
+of the greatest record key; those with other keys become revisits that refer to it.
 
 Archives are gzip members, one per record, in files of the folder that all executors
-share.  A file is written under a name of its attempt and renamed when complete, so a
-lost task leaves nothing under a name that is read.
+share, cut by the bytes they unpack to.  A file is written under a name of its attempt and
+renamed when complete, so a lost task leaves nothing under a name that is read.  Archives
+are read as streams and payloads leave in batches of a few MB, so neither an archive nor
+many alike pages, which pack a hundredfold, are in memory at once.
 
 Defined results: null payloads count as empty, a null address becomes ``urn:record:KEY``;
-equal rows become records of their own; an empty table writes no archive and reads back
-as no rows; rows with a null key are not archived, as nothing could name them.
+equal rows become records of their own, all responses; an empty table writes no archive
+and reads back as no rows; rows with a null key are archived under the key ``null``, are
+always responses, and no revisit refers to them; columns not named are left out.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ import hashlib
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -38,14 +41,16 @@ from grainframe.session import cut_lineage, scratch_path
 
 REVISIT_BYTES = 1000
 ARC_BYTES = 1_000_000
-WARC_BYTES = 16_000_000
+WARC_BYTES = 64_000_000
+#: Bytes of payloads in a batch that is read back, about.
+BATCH_BYTES = 4_000_000
 FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 ARCHIVED = "20240102030405"
-_KEY = re.compile(rb"#record=(-?[0-9]+)$")
+_KEY = re.compile(rb"#record=(-?[0-9]+)$")  # the key ``null`` is no number and reads back as null
 
 
 def http_response(payload: bytes) -> bytes:
@@ -123,13 +128,22 @@ def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> byte
     return packer.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n") + packer.flush()
 
 
-def read_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (with the type) and block of each record of a compressed archive."""
-    while data:
-        opener = zlib.decompressobj(31)
-        text, data = opener.decompress(data), opener.unused_data
-        if not opener.eof:
-            raise ValueError("a WARC record is cut off")
+def members(read: Callable[[int], bytes]) -> Iterator[bytes]:
+    """Contents of the gzip members of a stream, one after the other."""
+    opener, parts, rest = zlib.decompressobj(31), [], b""
+    while data := rest or read(1 << 16):
+        parts.append(opener.decompress(data))
+        rest = opener.unused_data
+        if opener.eof:
+            yield b"".join(parts)
+            opener, parts = zlib.decompressobj(31), []
+    if parts:
+        raise ValueError("a WARC record is cut off")
+
+
+def read_warc(read: Callable[[int], bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers (with the type) and block of each record of a compressed archive, read as a stream."""
+    for text in members(read):
         at = text.index(b"\r\n\r\n")
         lines = text[:at].decode().split("\r\n")
         headers = dict(line.split(": ", 1) for line in lines[1:])
@@ -151,6 +165,7 @@ def to_arc(rows: DataFrame, arc_bytes: int = ARC_BYTES) -> DataFrame:
 
         for batch in batches:
             for key, url, payload in zip(*(batch.column(c) for c in ("key", "url", "payload"))):
+                key = "null" if key.as_py() is None else key
                 address = re.sub(rb"[\x00-\x20\x7f]", lambda m: b"%%%02X" % m[0][0],
                                  (url.as_py() or f"urn:record:{key}").encode())
                 content = http_response(payload.as_py() or b"")
@@ -162,7 +177,7 @@ def to_arc(rows: DataFrame, arc_bytes: int = ARC_BYTES) -> DataFrame:
         if held:
             yield made()
 
-    return rows.where("key is not null").select("key", "url", "payload").mapInArrow(scan, "archive binary")
+    return rows.select("key", "url", "payload").mapInArrow(scan, "archive binary")
 
 
 def arc_records(archives: DataFrame) -> DataFrame:
@@ -197,14 +212,14 @@ def with_originals(records: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> Da
     """Adds the id and address of the record that holds an equal payload, null if it is this one.
 
     Only digests are grouped, so a payload that a third of all records share is one
-    pre-aggregated row; records with small payloads take no part.
+    pre-aggregated row; records with small payloads or without a key take no part.
     """
-    big = records.where(F.col("payload_bytes") >= revisit_bytes)
+    big = records.where((F.col("payload_bytes") >= revisit_bytes) & F.col("key").isNotNull())
     originals = big.groupBy("payload_digest").agg(
         F.max(F.struct("key", "record_id", "address", "time")).alias("original"), F.count("*").alias("__n")
     ).where("__n > 1").drop("__n")
     joined = records.join(originals, "payload_digest", "left")
-    other = (F.col("original.record_id") != F.col("record_id")) & (F.col("payload_bytes") >= revisit_bytes)
+    other = (F.col("original.key") != F.col("key")) & (F.col("payload_bytes") >= revisit_bytes)
     return joined.withColumn("original", F.when(other, F.col("original")))
 
 
@@ -246,7 +261,7 @@ def write_warc(records: DataFrame, folder: str, warc_bytes: int = WARC_BYTES) ->
                     ]
                 block = row["head"] + (b"" if original else row["payload"])
                 held.append(warc_record("revisit" if original else "response", headers, block))
-                size, count = size + len(held[-1]), count + 1
+                size, count = size + len(block), count + 1
                 if size >= warc_bytes:
                     yield flush()
                     held, size, count, number = [], 0, 0, number + 1
@@ -257,7 +272,25 @@ def write_warc(records: DataFrame, folder: str, warc_bytes: int = WARC_BYTES) ->
     return records.sortWithinPartitions("key", "record_id").mapInArrow(scan, "file string, records long")
 
 
-def read_archives(files: DataFrame, folder: str) -> DataFrame:
+def _page(headers: dict[str, str], block: bytes) -> tuple:
+    """Row of a record; a stored payload must have its digest."""
+    kind, sha = headers["WARC-Type"], headers["WARC-Payload-Digest"]
+    head, payload = split_http(block)
+    if kind == "response" and digest(payload) != sha:
+        raise ValueError("a payload does not have its digest")
+    declared = re.search(rb"\r\nContent-Length: ([0-9]+)", head)
+    size = len(payload) if kind == "response" else int(declared[1])
+    named = _KEY.search(headers["WARC-Target-URI"].encode())
+    refers = _KEY.search(headers.get("WARC-Refers-To-Target-URI", "").encode())
+    return (
+        int(named[1]) if named else None, headers["WARC-Record-ID"],
+        headers["WARC-Target-URI"], headers["WARC-Date"], kind, size,
+        base64.b32decode(sha.removeprefix("sha1:")).hex(),
+        int(refers[1]) if refers else None, payload,
+    )
+
+
+def read_archives(files: DataFrame, folder: str, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Every record of the archives named by ``files.file``.
 
     A payload is checked against its digest where it is stored; the size of a revisit's
@@ -266,30 +299,25 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = filesystem(folder)
+        kinds = [pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.int64(), pa.binary()]
+        names = ["key", "record_id", "address", "time", "record_type", "payload_bytes",
+                 "payload_digest", "refers_to", "payload"]
+
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+        rows, held = [], 0
         for batch in batches:
             for name in batch.column("file").to_pylist():
                 with store.open_input_stream(f"{base}/{name}", compression=None) as source:
-                    data = source.read()
-                rows = []
-                for headers, block in read_warc(data):
-                    kind, sha = headers["WARC-Type"], headers["WARC-Payload-Digest"]
-                    head, payload = split_http(block)
-                    if kind == "response" and digest(payload) != sha:
-                        raise ValueError("a payload does not have its digest")
-                    declared = re.search(rb"\r\nContent-Length: ([0-9]+)", head)
-                    size = len(payload) if kind == "response" else int(declared[1])
-                    named = _KEY.search(headers["WARC-Target-URI"].encode())
-                    refers = _KEY.search(headers.get("WARC-Refers-To-Target-URI", "").encode())
-                    rows.append((
-                        int(named[1]) if named else None, headers["WARC-Record-ID"],
-                        headers["WARC-Target-URI"], headers["WARC-Date"], kind, size,
-                        base64.b32decode(sha.removeprefix("sha1:")).hex(),
-                        int(refers[1]) if refers else None, payload,
-                    ))
-                kinds = [pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.int64(), pa.binary()]
-                names = ["key", "record_id", "address", "time", "record_type", "payload_bytes",
-                         "payload_digest", "refers_to", "payload"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+                    for headers, block in read_warc(source.read):
+                        rows.append(_page(headers, block))
+                        held += 300 + len(block)
+                        if held >= batch_bytes:
+                            yield made(rows)
+                            rows, held = [], 0
+        if rows:
+            yield made(rows)
 
     return files.mapInArrow(
         scan,
@@ -301,11 +329,12 @@ def read_archives(files: DataFrame, folder: str) -> DataFrame:
 def convert_and_read(rows: DataFrame, folder: str | None = None) -> DataFrame:
     """``key, url, payload`` rows through ARC archives into WARC files and back.
 
-    Writes below ``folder`` (by default a new scratch folder) when called.
+    Writes below ``folder`` (by default a new scratch folder) when called.  The converted
+    records are written once: their digests are grouped and their payloads archived from it.
     """
     spark = rows.sparkSession
     folder = folder or scratch_path(spark, "warc")
-    records = with_originals(arc_records(to_arc(rows)))
+    records = with_originals(cut_lineage(arc_records(to_arc(rows)), "arc-records"))
     files = cut_lineage(write_warc(records, folder), "warc-files")
     width = max(1, spark.sparkContext.defaultParallelism, files.count())
     return read_archives(files.repartition(width, "file"), folder)
