@@ -57,6 +57,26 @@ def encode(values: np.ndarray) -> bytes:
     return head + bits.tobytes() + low
 
 
+def _u(x: int) -> np.uint64:
+    return np.uint64(x)
+
+
+_ONES, _HIGH = _u(0x0101010101010101), _u(0x8080808080808080)
+# place of the n-th set bit of a byte, at 8 * byte + n
+_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], dtype=np.uint64).ravel()
+
+
+def select_bit(value: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the ``k``-th set bit (from 0) of each 64-bit word, which has more than ``k``."""
+    count = value - ((value >> _u(1)) & _u(0x5555555555555555))
+    count = (count & _u(0x3333333333333333)) + ((count >> _u(2)) & _u(0x3333333333333333))
+    upto = ((count + (count >> _u(4))) & _u(0x0F0F0F0F0F0F0F0F)) * _ONES  # bits up to each byte
+    byte = np.bitwise_count(((k * _ONES | _HIGH) - upto) & _HIGH).astype(np.uint64) << _u(3)
+    byte = np.minimum(byte, _u(56))
+    left = k - (((upto << _u(8)) >> byte) & _u(255))
+    return byte + _IN_BYTE[(((value >> byte) & _u(255)) << _u(3)) + np.minimum(left, _u(7))]
+
+
 class EliasFano:
     """Reads what :func:`encode` wrote; only a count per 64 bits is held in memory."""
 
@@ -76,15 +96,7 @@ class EliasFano:
         value = self.high[word]
         if flip:
             value = ~value
-        left = k - counts[word]
-        place = np.zeros(len(k), dtype=np.int64)
-        for half in (32, 16, 8, 4, 2, 1):
-            inside = np.bitwise_count(value & np.uint64((1 << half) - 1)).astype(np.int64)
-            up = left >= inside
-            left = np.where(up, left - inside, left)
-            value = np.where(up, value >> np.uint64(half), value)
-            place += np.where(up, half, 0)
-        return word * 64 + place
+        return word * 64 + select_bit(value, (k - counts[word]).astype(np.uint64)).astype(np.int64)
 
     def __getitem__(self, index: np.ndarray) -> np.ndarray:
         high = self._select(index, self.ones, False) - index

@@ -5,13 +5,15 @@ writes shards of a range of keys to the shared folder:
 
 1. Words: codes of all training tokens as an Elias-Fano sequence, with exact counts.  A
    word's id is its rank.
-2. Pairs seen at least twice: per first word a monotone pointer to its successors, their
+2. Pairs seen at least ``min_count[2]`` times: per first word a monotone pointer to its successors, their
    ids in fixed width, quantised discounted probabilities, and the quantised weight that
    is left to the lower order.
-3. Triples seen at least three times, in the same form below the pairs.
+3. Triples seen at least ``min_count[3]`` times, in the same form below the pairs.
 
-A pair is only counted if both its words, and a triple if both its pairs, are frequent
-enough, which loses none that would be kept.  Probabilities interpolate absolute
+By default pairs seen once and triples seen once or twice are left to the lower order;
+``min_count={2: 1, 3: 1}`` keeps every n-gram of the training texts, at the price of a
+larger model.  A pair is only counted if both its words, and a triple if both its pairs,
+are frequent enough, which loses none that would be kept.  Probabilities interpolate absolute
 discounting down to the smoothed unigram, so they sum to one for every context.
 
 Tasks map the level files into memory, so a model larger than memory is read by the page.
@@ -28,7 +30,7 @@ columns pass through, columns of the result replace equally named ones.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -117,18 +119,14 @@ class _GramShard:
         self.counts = data[at : at + 4 * n].view("<u4")
         self.parents = parents
 
-    def find(self, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Entry (or -1) of each pair, and the weight left to the lower order."""
+    def ranges(self, parent: np.ndarray) -> tuple[np.ndarray, ...]:
+        """First and end of each parent's successors, and the weight left to the lower order."""
         at = parent - self.low
         known = (at >= 0) & (at < self.parents)
         at = np.where(known, at, 0)
         start = self.pointers[at].astype(np.int64)
-        end = self.pointers[at + 1].astype(np.int64)
-        end = np.where(known, end, start)
-        rest = np.where(end > start, _VALUES[self.rest[at]], 1.0)
-        # an unknown word still leaves the context's weight to the lower order
-        end = np.where(child >= 0, end, start)
-        return search(self.children, start, end, np.maximum(child, 0).astype(np.uint64)), rest
+        end = np.where(known, self.pointers[at + 1].astype(np.int64), start)
+        return start, end, np.where(end > start, _VALUES[self.rest[at]], 1.0)
 
 
 def _by_shard(level: Level, keys: np.ndarray) -> Iterator[tuple[str, int, np.ndarray]]:
@@ -138,8 +136,8 @@ def _by_shard(level: Level, keys: np.ndarray) -> Iterator[tuple[str, int, np.nda
         yield level.shards[s][0], level.shards[s][2], np.flatnonzero(which == s)
 
 
-def word_ids(level: Level, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Id (or -1) and exact count of each key."""
+def word_ids(level: Level, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Id (or -1) and exact count of each different key, and for each key which of these it is."""
     unique, where = np.unique(keys, return_inverse=True)
     ids, counts = np.full(len(unique), -1, dtype=np.int64), np.zeros(len(unique), dtype=np.int64)
     for name, base, at in _by_shard(level, unique):
@@ -148,25 +146,53 @@ def word_ids(level: Level, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hit = found >= 0
         ids[at[hit]] = found[hit] + base
         counts[at[hit]] = shard.counts[found[hit]]
-    return ids[where], counts[where]
+    return ids, counts, where
+
 
+def grams(
+    level: Level, parents: np.ndarray, child: np.ndarray, where: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
+    """Entry id (or -1), discounted probability, weight of the lower order, and count of each pair.
 
-def grams(level: Level, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Entry id (or -1), discounted probability, weight of the lower order, and count."""
-    n = len(parent)
+    A pair's parent is ``parents[where]``, none where ``where`` is -1; without ``where``
+    there is one parent for each child.  Pointers are followed once for each parent.
+    """
+    n = len(child)
+    where = np.arange(n) if where is None else where
     ids, p, rest = np.full(n, -1, dtype=np.int64), np.zeros(n), np.ones(n)
     counts = np.zeros(n, dtype=np.int64)
-    for name, base, at in _by_shard(level, parent):
-        at = at[parent[at] >= 0]
+    for name, base, at in _by_shard(level, parents):
+        at = at[parents[at] >= 0]
         shard = _opened(level.folder, name, _GramShard)
-        found, rest[at] = shard.find(parent[at], child[at])
+        start, end, left = shard.ranges(parents[at])
+        local = np.full(len(parents) + 1, -1, dtype=np.int64)
+        local[at] = np.arange(len(at))
+        of = local[where]  # -1 reads the spare last place
+        mine = np.flatnonzero(of >= 0)
+        of, wanted = of[mine], child[mine]
+        rest[mine] = left[of]
+        # an unknown word still leaves the context's weight to the lower order
+        stop = np.where(wanted >= 0, end[of], start[of])
+        found = search(shard.children, start[of], stop, np.maximum(wanted, 0).astype(np.uint64))
         hit = found >= 0
-        ids[at[hit]] = found[hit] + base
-        p[at[hit]] = _VALUES[shard.p[found[hit]]]
-        counts[at[hit]] = shard.counts[found[hit]]
+        ids[mine[hit]] = found[hit] + base
+        p[mine[hit]] = _VALUES[shard.p[found[hit]]]
+        counts[mine[hit]] = shard.counts[found[hit]]
     return ids, p, rest, counts
 
 
+def counts_of(level: Level, ids: np.ndarray, reader) -> np.ndarray:
+    """Counts of entries given by id, for shards that ``reader`` opens."""
+    bases = np.array([s[2] for s in level.shards], dtype=np.int64)
+    which = np.searchsorted(bases, ids, side="right") - 1
+    out = np.zeros(len(ids), dtype=np.int64)
+    for s in np.unique(which):
+        at = np.flatnonzero(which == s)
+        name, _, base = level.shards[s]
+        out[at] = _opened(level.folder, name, reader).counts[ids[at] - base]
+    return out
+
+
 def _context_pairs(ids: np.ndarray, first: np.ndarray, back: int) -> np.ndarray:
     """For each token the id ``back`` places before it in its text, or -1."""
     out = np.full(len(ids), -1, dtype=np.int64)
@@ -182,7 +208,7 @@ def _count(docs: DataFrame, keys_of, names: list[str]) -> DataFrame:
 
     def add(parts: list) -> pa.RecordBatch:
         columns = [np.concatenate(c) for c in zip(*parts)]
-        if len(columns) == 4 and not (columns[0] >> 31).any():  # ids that fit one sort key
+        if len(columns) == 3 and not ((columns[0] | columns[1]) >> 31).any():  # ids that fit one sort key
             order = np.argsort((columns[0] << 32) | columns[1])
         else:
             order = np.lexsort(columns[-2::-1])
@@ -244,7 +270,10 @@ def _build_words(keys: np.ndarray, counts: np.ndarray) -> list[bytes]:
     return [encode(keys), counts.astype("<i8").tobytes()]
 
 
-def _build_grams(parent: np.ndarray, child: np.ndarray, n: np.ndarray, total: np.ndarray) -> list[bytes]:
+def _build_grams(parent: np.ndarray, child: np.ndarray, n: np.ndarray, count_of) -> list[bytes]:
+    """A shard; ``count_of`` gives the counts of the parents it is asked for."""
+    fresh = np.flatnonzero(np.concatenate([[True], parent[1:] != parent[:-1]]))
+    total = np.repeat(count_of(parent[fresh]), np.diff(np.append(fresh, len(parent))))
     low, parents = int(parent[0]), int(parent[-1] - parent[0]) + 1
     p = (n - DISCOUNT) / total
     pointers = np.searchsorted(parent, low + np.arange(parents + 1))
@@ -275,16 +304,16 @@ class Model:
 
     def probabilities(self, keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
         """Count, unigram probability and the model's probability of each token."""
-        ids, counts = word_ids(self.words, keys)
-        base = self.base(counts)
-        entry, p2, rest2, _ = grams(self.pairs, _context_pairs(ids, first, 1), ids)
+        words, counts, where = word_ids(self.words, keys)
+        ids, base = words[where], self.base(counts)[where]
+        entry, p2, rest2, _ = grams(self.pairs, words, ids, _context_pairs(where, first, 1))
         p = p2 + rest2 * base
         context = _context_pairs(entry, first, 1)  # the pair that ends before the token
         _, p3, rest3, _ = grams(self.triples, context, ids)
-        return counts, base, p3 + rest3 * p
+        return counts[where], base, p3 + rest3 * p
 
 
-def train(docs: DataFrame, folder: str | None = None) -> Model:
+def train(docs: DataFrame, folder: str | None = None, min_count: Mapping[int, int] = MIN_COUNT) -> Model:
     """Counts the n-grams of ``docs`` and writes the trie below ``folder``."""
     folder = folder or scratch_path(docs.sparkSession, "trie")
 
@@ -296,36 +325,42 @@ def train(docs: DataFrame, folder: str | None = None) -> Model:
     words = _write_level(counted, "word", ["word", "n"], _build_words, folder, "word-level")
 
     def two(keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        ids, counts = word_ids(words, keys)
-        ids = np.where(counts >= MIN_COUNT[2], ids, -1)
+        ids, counts, where = word_ids(words, keys)
+        ids = np.where(counts >= min_count[2], ids, -1)[where]
         before = _context_pairs(ids, first, 1)
         kept = (before >= 0) & (ids >= 0)
-        totals = np.concatenate([[0], counts[:-1]])
-        order = np.unique((before[kept] << 32) | ids[kept], return_index=True, return_counts=True)
-        pair, at, n = order
-        return pair >> 32, pair & 0xFFFFFFFF, totals[kept][at], n
+        return before[kept], ids[kept], np.ones(np.count_nonzero(kept), dtype=np.int64)
 
-    pair_rows = _count(docs, two, ["parent", "child", "total"]).where(f"n >= {MIN_COUNT[2]}")
-    columns = ["parent", "child", "n", "total"]
-    pairs = _write_level(pair_rows, "parent", columns, _build_grams, folder, "pair-level")
+    def pair_shard(*columns: np.ndarray) -> list[bytes]:
+        return _build_grams(*columns, lambda parents: counts_of(words, parents, _WordShard))
+
+    columns = ["parent", "child", "n"]
+    pair_rows = _count(docs, two, ["parent", "child"]).where(F.col("n") >= min_count[2])
+    pairs = _write_level(pair_rows, "parent", columns, pair_shard, folder, "pair-level")
 
     def three(keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        ids, _ = word_ids(words, keys)
-        entry, _, _, later = grams(pairs, _context_pairs(ids, first, 1), ids)
+        found, _, where = word_ids(words, keys)
+        ids = found[where]
+        entry, _, _, later = grams(pairs, found, ids, _context_pairs(where, first, 1))
         context = _context_pairs(entry, first, 1)
         total = np.concatenate([[0], later[:-1]])
-        kept = (context >= 0) & (total >= MIN_COUNT[3]) & (later >= MIN_COUNT[3])
-        a, b, t = context[kept], ids[kept], total[kept]
-        return a, b, t, np.ones(len(a), dtype=np.int64)
+        kept = (context >= 0) & (total >= min_count[3]) & (later >= min_count[3])
+        return context[kept], ids[kept], np.ones(np.count_nonzero(kept), dtype=np.int64)
+
+    def triple_shard(*columns: np.ndarray) -> list[bytes]:
+        return _build_grams(*columns, lambda parents: counts_of(pairs, parents, _GramShard))
 
-    triple_rows = _count(docs, three, ["parent", "child", "total"]).where(f"n >= {MIN_COUNT[3]}")
-    triples = _write_level(triple_rows, "parent", columns, _build_grams, folder, "triple-level")
+    triple_rows = _count(docs, three, ["parent", "child"]).where(F.col("n") >= min_count[3])
+    triples = _write_level(triple_rows, "parent", columns, triple_shard, folder, "triple-level")
     return Model(words, pairs, triples, tokens)
 
 
-def score_texts(docs: DataFrame, folds: int = 10, held_out: int = 0) -> DataFrame:
+def score_texts(
+    docs: DataFrame, folds: int = 10, held_out: int = 0, min_count: Mapping[int, int] = MIN_COUNT
+) -> DataFrame:
     """``docs`` with ``held_out`` and the scores; learns from the other folds.
 
+    ``min_count`` says how often pairs and triples must occur to be kept; 1 keeps all.
     Runs the training jobs when called; scoring is row by row without a shuffle.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -335,7 +370,7 @@ def score_texts(docs: DataFrame, folds: int = 10, held_out: int = 0) -> DataFram
     docs = docs.drop("held_out", *made).withColumn(
         "held_out", F.coalesce(fold_of(folds) == held_out, F.lit(False))
     )
-    model = train(docs.where("not held_out"))
+    model = train(docs.where("not held_out"), min_count=min_count)
     schema = StructType([*docs.schema, *added])
     arrow = to_arrow_schema(schema)
 
