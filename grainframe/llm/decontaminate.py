@@ -9,15 +9,18 @@
 3. Every text is read in overlapping windows.  Of those whose squared weights come to
    ``MASS`` of the lightest passage's, the latent vector is compared with all passages;
    cosines of at least ``COSINE`` make a candidate.
-4. Candidates are checked on words: the longest common subsequence of the item with the
-   text around the window, and the same for the item's end, which holds its answer.
+4. Candidates are checked on words of the text around the window.  A verbatim run of
+   ``RUN`` words of the item (of a shorter item, all of it) is a leak by itself, whatever
+   part of the item it is.  Paraphrases are judged by the longest common subsequence with
+   the whole item, and with the item's end, which holds its answer.
 
 The benchmark goes through in blocks of ``BLOCK_ITEMS`` items, one pass over the
 documents each, so what a task holds does not grow with either side.
 
 Defined results: null or empty texts have no leaks; null or empty items leak nowhere;
-repeated rows are treated alike; extra columns pass through, an equally named ``leaks``
-is replaced; an empty benchmark gives empty lists.
+repeated rows and rows without an id are treated alike; a very long text is read whole, in
+windows; extra columns pass through, an equally named ``leaks`` is replaced; an empty
+benchmark gives empty lists.
 """
 
 from __future__ import annotations
@@ -42,11 +45,12 @@ COSINE = 0.6
 MASS = 0.4
 OVERLAP = 0.6
 ANSWER = 0.34
+RUN = 13
 BLOCK_ITEMS = 4096
 
 LEAKS = (
     "array<struct<item_id:bigint,cosine:double,overlap:double,answer:double,"
-    "start:bigint,end:bigint>>"
+    "run:bigint,start:bigint,end:bigint>>"
 )
 
 
@@ -175,6 +179,20 @@ def common_subsequence(a: list, b: list) -> int:
     return len(a) - row.bit_count()
 
 
+def verbatim_run(item: list, region: list, least: int = RUN) -> int:
+    """Words of the longest stretch of ``region`` made of ``least``-word runs of ``item``; 0 if there is none.
+
+    An item with fewer words must stand there whole.
+    """
+    size = min(least, len(item))
+    runs = {tuple(item[i : i + size]) for i in range(len(item) - size + 1)}
+    best = streak = 0
+    for i in range(len(region) - size + 1):
+        streak = streak + 1 if tuple(region[i : i + size]) in runs else 0
+        best = max(best, streak)
+    return best + size - 1 if best else 0
+
+
 class _Block:
     """One benchmark block: passages in latent space and the items' words."""
 
@@ -229,15 +247,15 @@ class _Block:
             mine, best = self.codes[item], None
             for start, end, cosine in self._regions(sorted(found[item]), len(mine), len(codes)):
                 region = codes[start:end].tolist()
-                overlap = common_subsequence(mine, region) / len(mine)
-                if overlap < OVERLAP:
+                overlap, run = common_subsequence(mine, region) / len(mine), verbatim_run(mine, region)
+                if overlap < OVERLAP and not run:
                     continue
                 tail = mine[-max(1, len(mine) // 4) :]
                 answer = common_subsequence(tail, region) / len(tail)
-                if answer >= ANSWER and (best is None or overlap > best["overlap"]):
+                if (run or answer >= ANSWER) and (best is None or (overlap, run) > (best["overlap"], best["run"])):
                     best = {
                         "item_id": self.ids[item], "cosine": cosine, "overlap": overlap,
-                        "answer": answer, "start": start, "end": end,
+                        "answer": answer, "run": run, "start": start, "end": end,
                     }
             if best:
                 out.append(best)
