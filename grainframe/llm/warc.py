@@ -124,7 +124,7 @@ def warc_record(kind: str, headers: list[tuple[str, str]], block: bytes) -> byte
     """One gzip member."""
     lines = ["WARC/1.1", f"WARC-Type: {kind}", *(f"{k}: {v}" for k, v in headers)]
     lines += [f"WARC-Block-Digest: {digest(block)}", f"Content-Length: {len(block)}", "", ""]
-    packer = zlib.compressobj(3, zlib.DEFLATED, 31)
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
     return packer.compress("\r\n".join(lines).encode() + block + b"\r\n\r\n") + packer.flush()
 
 
@@ -334,7 +334,9 @@ def convert_and_read(rows: DataFrame, folder: str | None = None) -> DataFrame:
     """
     spark = rows.sparkSession
     folder = folder or scratch_path(spark, "warc")
-    records = with_originals(cut_lineage(arc_records(to_arc(rows)), "arc-records"))
+    path, converted = scratch_path(spark, "arc-records"), arc_records(to_arc(rows))
+    converted.write.option("compression", "zstd").parquet(path)  # web pages pack well
+    records = with_originals(spark.read.schema(converted.schema).parquet(path))
     files = cut_lineage(write_warc(records, folder), "warc-files")
     width = max(1, spark.sparkContext.defaultParallelism, files.count())
     return read_archives(files.repartition(width, "file"), folder)
