@@ -7,8 +7,11 @@ whole text and feed a logistic unit.  The first embedding dimension starts at th
 ratio of classes counted over at most ``COUNTED`` labelled training rows a class
 (``labelled.py``); the rest starts at random, and
 everything is trained by adaptive gradient steps on a bounded sample of at most
-``SAMPLE`` rows a class.  Part of the sample sets one threshold per language, told from
-function words of the text itself, and scores are shifted so that 0.5 is the threshold.
+``SAMPLE`` rows a class.  Every labelled training row that the network was not trained on,
+a quarter of the sample among them, then sets one threshold per language: their logits are
+counted in bins by language and label, and the cut with the fewest mistakes is taken.
+Languages are told from function words of the text itself; one with fewer than ``FEW``
+such rows of a class takes the cut of all rows.  Scores are shifted so that 0.5 is the cut.
 
 For scoring, embeddings are multiplied by the filters once, so a text costs table
 look-ups, sums and a maximum.
@@ -41,6 +44,8 @@ SAMPLE = 1500
 EPOCHS = 6
 RATE = 0.05
 SCORE_BYTES = 500_000
+#: Rows of either class that a threshold of a language needs, and bins a unit of the logit has.
+FEW, BINS = 10, 100
 
 #: Function words by which a text's language is told.
 FUNCTION_WORDS = {
@@ -206,24 +211,29 @@ def _pool_all(ids: np.ndarray, first: np.ndarray, tables: list) -> np.ndarray:
     return features
 
 
-def _threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The cut with the fewest mistakes, a clean text counting twice; 0 if a class is missing."""
-    if not 0 < labels.sum() < len(labels):
+def _threshold(clean: np.ndarray, toxic: np.ndarray) -> float:
+    """The cut with the fewest mistakes over bins of logits, a clean text counting twice.
+
+    0 if a class is missing; of equally good cuts the one in the middle.
+    """
+    if not clean.sum() or not toxic.sum():
         return 0.0
-    order = np.sort(np.unique(logits))
-    cuts = np.concatenate([(order[1:] + order[:-1]) / 2, [order[0] - 1, order[-1] + 1]])
-    clean, toxic = np.sort(logits[labels == 0]), np.sort(logits[labels == 1])
-    wrong = 2 * (1 - np.searchsorted(clean, cuts) / len(clean)) + np.searchsorted(toxic, cuts) / len(toxic)
-    best = cuts[wrong <= wrong.min() + 1e-9]
-    return float(best[np.argmin(np.abs(best - np.median(best)))])
+    over = 1 - np.concatenate([[0], np.cumsum(clean)]) / clean.sum()
+    under = np.concatenate([[0], np.cumsum(toxic)]) / toxic.sum()
+    wrong = 2 * over + under
+    best = np.flatnonzero(wrong <= wrong.min() + 1e-9)
+    return float(best[np.argmin(np.abs(best - np.median(best)))]) / BINS - LIMIT
+
+
+#: Logits are counted from -LIMIT to LIMIT.
+LIMIT = 30
 
 
-def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[Network | None, np.ndarray]:
-    """The trained network and a threshold per language (the last one for none)."""
+def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[Network | None, list]:
+    """The trained network and the ids of the rows it was trained on."""
     counts, texts = class_counts(rows)
-    cuts = np.zeros(len(_LANGUAGES) + 1)
     if not texts.all():
-        return None, cuts
+        return None, []
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -232,52 +242,91 @@ def fit(rows: DataFrame, sample: int = SAMPLE) -> tuple[Network | None, np.ndarr
                 ids = _ids(words)
                 raw = [ids[a:b].tobytes() for a, b in zip(words.first[:-1], words.first[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("label"), pa.array(_language(words)), pa.array(raw, pa.binary())],
-                    ["label", "language", "ids"],
+                    [batch.column("doc_id"), batch.column("label"), pa.array(raw, pa.binary())], ["doc_id", "label", "ids"]
                 )
 
-    chosen = bounded_sample(rows, sample).select("label", "text")
-    local = chosen.mapInArrow(scan, "label int, language long, ids binary").toArrow()
-    labels, languages = local.column("label").to_numpy(), local.column("language").to_numpy()
+    chosen = bounded_sample(rows, sample).select(F.col("doc_id").cast("long").alias("doc_id"), "label", "text")
+    local = chosen.mapInArrow(scan, "doc_id long, label int, ids binary").toArrow()
+    labels, names = local.column("label").to_numpy(), local.column("doc_id").to_pylist()
     texts_ids = [np.frombuffer(x.as_py(), dtype=np.int32).reshape(-1, 2) for x in local.column("ids")]
     rng = np.random.default_rng(3)
     order = rng.permutation(len(labels))
-    spared = order[: len(order) // 4]  # these set the thresholds and are not trained on
+    trained = order[len(order) // 4 :]  # the rest only helps to set the thresholds
     network = Network(counts, texts)
     for _ in range(EPOCHS):
-        for i in rng.permutation(order[len(spared) :]):
+        for i in rng.permutation(trained):
             network.learn(texts_ids[i], labels[i])
-    logits = np.array([network.logit(texts_ids[i]) for i in spared])
-    overall = _threshold(logits, labels[spared])
-    for k in range(len(cuts)):
-        mine = languages[spared] == k
-        few = min(mine.sum() - labels[spared][mine].sum(), labels[spared][mine].sum()) < 10
-        cuts[k] = overall if few else _threshold(logits[mine], labels[spared][mine])
-    return network, cuts
+    return network, [names[i] for i in trained]
+
+
+class _Scorer:
+    """Logits and languages of the texts of a batch."""
+
+    def __init__(self, network: Network) -> None:
+        self.tables, self.out, self.bias = network.tables(), network.out.astype(np.float32), network.bias
+
+    def __call__(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        words = _tokens(batch.column("text"))
+        logit = _pool_all(_ids(words), words.first, self.tables) @ self.out + self.bias
+        return logit.astype(np.float64), _language(words)
+
+
+def thresholds(docs: DataFrame, labels: DataFrame, label: str, scorer: _Scorer, trained: list) -> np.ndarray:
+    """A cut per language (the last one for none) from all labelled rows but the ``trained`` ones.
+
+    Texts are scored where they are; only ids and bins meet the labels, and only counts
+    of bins, at most two a bin and language, reach the driver.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", SCORE_BYTES):
+                logit, language = scorer(batch)
+                place = np.clip(np.floor((logit + LIMIT) * BINS), 0, 2 * LIMIT * BINS - 1).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id"), pa.array(language.astype(np.int64)), pa.array(place)], ["doc_id", "language", "bin"]
+                )
+
+    spark = docs.sparkSession
+    scored = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+        scan, "doc_id long, language long, bin long"
+    )
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("label in (0, 1)")
+    seen = F.broadcast(spark.createDataFrame([(i,) for i in trained], "doc_id long"))
+    counts = scored.join(known.join(seen, "doc_id", "left_anti"), "doc_id").groupBy("language", "label", "bin").agg(
+        F.count(F.lit(1)).alias("n")
+    ).toPandas()
+    table = np.zeros((len(_LANGUAGES) + 1, 2, 2 * LIMIT * BINS))
+    table[counts["language"], counts["label"], counts["bin"]] = counts["n"]
+    overall = _threshold(*table.sum(0))
+    return np.array([overall if t.sum(1).min() < FEW else _threshold(*t) for t in table])
 
 
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5, held_out: int = 0,
     sample: int = SAMPLE,
 ) -> DataFrame:
-    """``docs`` with ``held_out``, ``score`` and ``predicted``; learns from the other folds."""
+    """``docs`` with ``held_out``, ``score`` and ``predicted``; learns from the other folds.
+
+    Texts are taken whole, however long.  Jobs for the fit and the thresholds run when
+    called; scoring is row by row without a shuffle.
+    """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     docs = docs.drop("held_out", "score", "predicted")
-    known = labelled(docs, labels.where(fold_of(folds) != held_out), label, sample)
-    network, cuts = fit(known, sample)
-    tables = network.tables() if network else []
-    out, bias = (network.out.astype(np.float32), network.bias) if network else (None, 0.0)
+    own = labels.where(fold_of(folds) != held_out)
+    network, trained = fit(labelled(docs, own, label, sample), sample)
+    scorer = _Scorer(network) if network else None
+    cuts = thresholds(docs, own, label, scorer, trained) if network else None
     schema = StructType([*docs.schema, StructField("score", DoubleType())])
     arrow = to_arrow_schema(schema)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", SCORE_BYTES):
-                if tables:
-                    words = _tokens(batch.column("text"))
-                    logit = _pool_all(_ids(words), words.first, tables) @ out + bias
-                    logit = logit.astype(np.float64) - cuts[_language(words)]
+                if scorer:
+                    logit, language = scorer(batch)
+                    logit = logit - cuts[language]
                 else:
                     logit = np.full(batch.num_rows, -1e-9)
                 score = 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
