@@ -199,7 +199,77 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return verified_documents(_table(spark, folder, "documents"))
 
 
-@_query("op11_conversation_repair")
+def _paid(path: str, cost: str, edit: str) -> str:
+    """A path (its cost in ten digits, then its edits, so that text order is the order wanted) after one edit."""
+    return f"lpad(CAST(CAST(left({path}, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || substr({path}, 11) || '{edit}'"
+
+
+def _least(*paths: str) -> str:
+    return f"least({', '.join(paths)})"
+
+
+def _kept(path: str, initial: str) -> str:
+    return f"CASE WHEN f IN (0, 3) AND i = '{initial}' THEN {_paid(path, 'more', 'K')} END"
+
+
+def _reroled(path: str) -> str:
+    return f"CASE WHEN f IN (0, 3) THEN {_paid(path, '3 + more', 'R')} END"
+
+
+@_query(
+    "op11_conversation_repair",
+    f"""
+    WITH RECURSIVE
+    raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {_CRC32.format(d="(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+            FROM conversations),
+    damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                       CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                       unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [0, 1] ELSE [0] END) AS copy
+                FROM raw),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+                      rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare
+               FROM damaged),
+    line AS (SELECT *, left(role, 1) AS i,
+                    CASE WHEN bare = '' THEN 1
+                         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
+                         WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS f
+             FROM placed),
+    steps AS (SELECT *, CASE WHEN f = 3 THEN 3 ELSE 0 END AS more,
+                     lag(i) OVER (PARTITION BY conv_id ORDER BY pos) || i AS pair FROM line),
+    facts AS (SELECT conv_id, max(turn) AS hi, min(turn) AS lo, count(DISTINCT turn) AS turns,
+                     count(*) FILTER (f = 1) AS blank, count(*) FILTER (f = 2) AS duplicate, count(*) FILTER (f = 3) AS truncated,
+                     count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+              FROM steps GROUP BY conv_id),
+    -- the best path to having put out nothing, a system turn, ... up to a user's, up to an assistant's turn
+    walk AS (SELECT conv_id, 0 AS pos, '0000000000' AS n, CAST(NULL AS VARCHAR) AS s, '0000000003I' AS u, '0000000006II' AS a
+             FROM facts
+             UNION ALL
+             SELECT conv_id, pos, n, s, u, {_least("a", _paid("u", "3", "I"))}
+             FROM (SELECT conv_id, pos, n, s, a, {_least("u", *(_paid(x, "3", "I") for x in "nsa"))} AS u
+                   FROM (SELECT w.conv_id, x.pos, {_paid("n", "4", "D")} AS n,
+                                {_least(_paid("s", "4", "D"), _kept("n", "s"))} AS s,
+                                {_least(_paid("u", "4", "D"), *(_kept(x, "u") for x in "nsa"), *(_reroled(x) for x in "nsa"))} AS u,
+                                {_least(_paid("a", "4", "D"), _kept("u", "a"), _reroled("u"))} AS a
+                         FROM walk w JOIN steps x ON x.conv_id IS NOT DISTINCT FROM w.conv_id AND x.pos = w.pos + 1))),
+    best AS (SELECT f.*, CAST(left(least(w.n, w.a), 10) AS BIGINT) AS cost, substr(least(w.n, w.a), 11) AS audit
+             FROM facts f JOIN walk w ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND w.pos = f.n),
+    edits AS (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM best),
+    turns AS (SELECT e.conv_id, p, substr(audit, p, 1) AS edit, length(replace(left(audit, p), 'I', '')) AS pos,
+                     length(replace(left(audit, p), 'D', '')) - 1 + length(replace(audit, 'D', '')) AS parity FROM edits e),
+    texts AS (SELECT t.conv_id, string_agg(
+                  CASE WHEN edit = 'K' THEN x.role WHEN parity % 2 = 0 THEN 'user' ELSE 'assistant' END || ':'
+                  || CASE WHEN edit = 'I' THEN '' ELSE x.text END, chr(10) ORDER BY p) AS repaired
+              FROM turns t LEFT JOIN steps x ON x.conv_id IS NOT DISTINCT FROM t.conv_id AND x.pos = t.pos
+              WHERE edit <> 'D' GROUP BY t.conv_id)
+    SELECT c.conv_id, coalesce(hi - lo + 1 - turns, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+           coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+    LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN texts x ON x.conv_id IS NOT DISTINCT FROM c.conv_id
+    """,
+)
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Faults, cheapest edits and repaired digest of every damaged conversation."""
     return repair_report(damaged(_table(spark, folder, "conversations")))

@@ -2,10 +2,12 @@ import random
 import time
 
 import brute_repair
+import duckdb
 import pytest
+from check_oracle import compare, connect
 
 from grainframe.llm.conversations import BLANK, DUPLICATE, TRUNCATED, cheapest_edits, code_of, damaged, repair_report
-from grainframe.llm.queries import QUERIES
+from grainframe.llm.queries import ORACLES, QUERIES
 
 FAULTS = {"sound": 0, "blank": BLANK, "duplicate": DUPLICATE, "truncated": TRUNCATED}
 SCHEMA = "conv_id long, turn long, role string, text string, audit string, cost int"
@@ -56,3 +58,12 @@ def test_report_against_brute_force(spark, folder, conversations):
 def test_no_conversations(spark, conversations):
     empty = spark.createDataFrame(conversations, SCHEMA).where("false")
     assert repair_report(damaged(empty)).count() == 0
+
+
+def test_query_equals_its_sql(spark, folder, conversations, tmp_path):
+    name = "op11_conversation_repair"
+    assert compare(QUERIES[name](spark, folder), connect(folder), ORACLES[name]) is None
+    spark.createDataFrame(conversations, SCHEMA).write.parquet((tmp_path / "conversations.parquet").as_uri())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert compare(QUERIES[name](spark, tmp_path.as_uri()), con, ORACLES[name]) is None
