@@ -380,7 +380,7 @@ def polygon_measures(t: Tables) -> DataFrame:
 
 @query(
     "rings_measures",
-    """SELECT c_nationkey, round(w * h * 1.75, 2) AS area,
+    """SELECT c_nationkey, round(w * h * 1.75, 4) AS area,
               round((w * h * (x0 + w / 2) * 0.75 + w * h * (x0 + w * 2.5)) / (w * h * 1.75), 4) AS center_x,
               round(y0 + h / 2, 4) AS center_y
        FROM (SELECT *, x1 - x0 AS w, y1 - y0 AS h
@@ -404,7 +404,7 @@ def rings_measures(t: Tables) -> DataFrame:
     center = rings_centroid(F.col("rings"))
     return shaped.select(
         "c_nationkey",
-        F.round(rings_area(F.col("rings")), 2).alias("area"),
+        F.round(rings_area(F.col("rings")), 4).alias("area"),
         F.round(center.getField("x"), 4).alias("center_x"),
         F.round(center.getField("y"), 4).alias("center_y"),
     )
