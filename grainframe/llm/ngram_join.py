@@ -122,9 +122,10 @@ def _packed_tokens(docs: DataFrame, size: int, shards: int) -> DataFrame:
                 rows.append((s, digest[who], n.astype("<i4"), code[mine], local[at[mine]]))
         none = np.zeros(0, dtype="<u4")
         with_more = np.flatnonzero(more)
+        start = int(np.bitwise_xor.reduce(digest)) % shards  # another one for each slice, so that shards share the load
         for s, low in enumerate(range(0, len(with_more), 4096)):
             who = with_more[low : low + 4096]
-            rows.append((s % shards, digest[who], more[who].astype("<i4"), none, none))
+            rows.append(((start + s) % shards, digest[who], more[who].astype("<i4"), none, none))
         columns = list(zip(*rows))
         return pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32())]
