@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from grainframe.catalog import Catalog, Dataset
-from grainframe.quality.passes import DIM, Breach, KeyUse, as_text, counts_by_tag, edge_uses, tagged_keys, types_of
+from grainframe.quality.passes import DIM, Breach, KeyUse, counts_by_tag, edge_uses, tagged_keys, types_of
 
 
 def check_schema(dataset: Dataset) -> DataFrame:
@@ -214,9 +214,9 @@ def _sketched(df: DataFrame, sets: Sequence[tuple[str, ...]], *more: Column) ->
 
     Sketches are merged across tasks; a row leaves one hash a set and is not copied.
     """
-    texts = [F.xxhash64(*[as_text(F.col(c), df.schema[c].dataType) for c in names]) for names in sets]
     sketches = [
-        F.hll_sketch_estimate(F.hll_sketch_agg(text, SKETCH_BITS)).alias(f"e{i}") for i, text in enumerate(texts)
+        F.hll_sketch_estimate(F.hll_sketch_agg(F.xxhash64(*names), SKETCH_BITS)).alias(f"e{i}")
+        for i, names in enumerate(sets)
     ]
     return df.agg(*sketches, *more).first()
 
