@@ -112,6 +112,26 @@ def test_edited_passages_down_to_the_identity(spark):
     assert all(p in found for p in (frozenset((2 * k, 2 * k + 1)) for k in range(pairs)))
 
 
+def test_edited_passages_whose_seeds_have_other_holders(spark):
+    rows, pairs = [], 6
+    for k in range(pairs):
+        a = [f"h{k}w{i}" for i in range(70)]
+        b = [f"y{k}w{i}" if i % 7 == 6 else w for i, w in enumerate(a)]
+        rows += [(2 * k, f"{_fresh(f'l{k}', 40)} {' '.join(a)}"), (2 * k + 1, f"{' '.join(b)} {_fresh(f'r{k}', 40)}")]
+        # every unchanged run also stands in texts of its own, one of which is the smallest node with it
+        rows += [(1000 + 100 * k + 10 * j + c, f"{_fresh(f'o{k}x{j}x{c}', 30)} {' '.join(a[7 * j : 7 * j + 6])}")
+                 for j in range(10) for c in range(8)]
+    assert _linked(spark, rows) == {frozenset((2 * k, 2 * k + 1)) for k in range(pairs)}
+
+
+def test_passages_of_frequent_words_link_all_their_texts(spark):
+    whole = [f"f{i}" for i in range(55)]
+    rows = [(100 + 20 * j + c, f"{_fresh(f'p{j}x{c}', 30)} {' '.join(whole[11 * j : 11 * j + 14])}")
+            for j in range(5) for c in range(20)]
+    rows += [(i, f"{_fresh(f'q{i}', 30)} {' '.join(whole)} {_fresh(f't{i}', 30)}") for i in (1, 2, 3)]
+    assert _linked(spark, rows) == {frozenset(p) for p in ((1, 2), (1, 3), (2, 3))}
+
+
 def test_passages_of_texts_without_an_id_do_not_hide_others(spark):
     shared = _fresh("n", 70)
     for trial in range(4):
