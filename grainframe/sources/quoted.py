@@ -6,7 +6,8 @@ cannot know, whether its split starts inside quotes, is carried over the splits:
 lies inside quotes if an odd number of quotes stand before it in its file.
 
 Lines of one split are numbered and their quotes summed in a window of the split, for
-either start; one summary row per split then says which of the two holds.  A record is a
+either start, over a few numbers a line: texts are not brought together by split.  One
+summary row per split then says which of the two holds.  A record is a
 line outside quotes and the lines inside quotes after it, which may reach over several
 splits.  Records of one line, usually nearly all, are not brought together.
 """
@@ -37,9 +38,12 @@ def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     numbered = lines.withColumns({"line": F.monotonically_increasing_id(), "quotes": quotes.cast("long")})
-    along = Window.partitionBy(*_PLACE).orderBy("line")
+    numbered = cut_lineage(numbered, "quoted-lines")
+    splits = cut_lineage(numbered.groupBy(*_PLACE).agg(F.min("line").alias("split")), "quoted-starts")
+    narrow = numbered.drop("value").join(splits, list(_PLACE)).select("split", "line", "quotes")
+    along = Window.partitionBy("split").orderBy("line")
     upto = along.rowsBetween(Window.unboundedPreceding, 0)
-    counted = numbered.withColumns(
+    counted = narrow.withColumns(
         {
             "before": F.sum("quotes").over(upto) - F.col("quotes"),
             "nth": F.row_number().over(along).cast("long"),
@@ -48,7 +52,8 @@ def _placed_lines(spark: SparkSession, path: str) -> DataFrame:
     starts = {
         f"last{k}": F.max(F.when(F.col("before") % 2 == k, F.col("nth"))).over(upto) for k in (0, 1)
     }
-    return cut_lineage(counted.withColumns(starts).drop("line"), "quoted-lines")
+    counted = cut_lineage(counted.withColumns(starts).drop("split", "quotes"), "quoted-counts")
+    return cut_lineage(numbered.join(counted, "line").drop("line"), "quoted-places")
 
 
 def _split_facts(lines: DataFrame) -> DataFrame:
