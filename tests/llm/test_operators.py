@@ -1,9 +1,11 @@
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import brute
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from check_oracle import compare, connect
 from pyspark.sql import functions as F
@@ -15,12 +17,14 @@ from grainframe.llm.language_model import score_texts
 from grainframe.llm.nbsvm import score_quality
 from grainframe.llm.ngram_join import similar_sets
 from grainframe.llm.packing import pack_documents, shortest_pack_first
-from grainframe.llm.passages import chains, repeated_passages
+from grainframe.llm.passages import K, _nodes, align, chains, repeated_passages
 from grainframe.llm.pii import find_personal_data, mod97, redact
 from grainframe.llm.queries import ORACLES, QUERIES, tokenizer_path
 from grainframe.llm.repetition import repetition_rules
 from grainframe.llm.toxicity import score_toxicity
 from grainframe.llm.warc import ARC_BYTES, arc_archive, convert_and_read, read_arc
+from grainframe.llm.words import words_of
+from grainframe.session import scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -140,6 +144,54 @@ def test_passages_of_texts_without_an_id_do_not_hide_others(spark):
         assert _linked(spark, rows) == {frozenset((1, 2))}
 
 
+def test_texts_come_once_to_all_chains_of_a_pair(spark):
+    line = _fresh("k", 12)
+    rows = [(i, f"{_fresh(f'd{i}', 20)} {' '.join([line] * (8 + i))}") for i in (1, 2)]
+    scratch = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    before = set(scratch.glob("*"))
+    assert _linked(spark, rows) == {frozenset((1, 2))}
+    left = {p.name.rsplit("-", 1)[0]: p for p in set(scratch.glob("*")) - before}
+    pairs = spark.read.parquet(str(left["long-enough"]))
+    assert pairs.count() == pairs.select("node", "holder").distinct().count() == 1
+    assert not {"nodes", "matches", "longer-matches", "chains"} & set(left)  # read by no later step
+
+
+def test_waiting_seeds_find_a_holder_that_has_copies(spark):
+    shared = _fresh("w", 60)
+    texts = [f"{_fresh(f'c{i}x', 30)} {shared} {_fresh(f'c{i}y', 30)}" for i in range(20)]
+    nodes = _nodes(words_of(pa.array(texts)))
+    rows, least = list(enumerate(texts)), texts[int(nodes.argmin())]
+    one = spark.createDataFrame([(100, least)], "doc_id long, text string").coalesce(1)
+    docs = one.unionAll(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).unionAll(one)
+    found = {frozenset((r.doc_id, r.with_doc_id)) for r in repeated_passages(docs).collect()}
+    assert {frozenset((i, int(nodes.argmin()))) for i in range(20) if i != nodes.argmin()} <= found
+
+
+def test_alignments_of_many_chains_equal_those_of_one():
+    rng = np.random.default_rng(3)
+    words, bounds, x, y, first = [], [], [], [], [0]
+    for _ in range(40):
+        a = rng.integers(0, 5, int(rng.integers(40, 90)))
+        b = a.copy()
+        b[rng.integers(0, len(b), 6)] = 9
+        at = np.flatnonzero(np.lib.stride_tricks.sliding_window_view(a == b, K).all(1))[::K]
+        for text in (a, b):
+            begin = bounds[-1][1] if bounds else 0
+            bounds.append((begin, begin + len(text)))
+            words.append(text)
+        x, y, first = [*x, *at], [*y, *at], [*first, first[-1] + len(at)]
+    words, bounds = np.concatenate(words), np.array(bounds)
+    many = align(words, bounds[::2], bounds[1::2], np.array(x), np.array(y), np.array(first))
+    for k in range(40):
+        part = slice(first[k], first[k + 1])
+        one = align(words, bounds[2 * k : 2 * k + 1], bounds[2 * k + 1 : 2 * k + 2],
+                    np.array(x[part]), np.array(y[part]), np.array([0, first[k + 1] - first[k]]))
+        assert [v[0] for v in one] == [v[k] for v in many]
+        x0, x1 = int(many[0][k]), int(many[1][k])
+        left, right = words[bounds[2 * k][0] :], words[bounds[2 * k + 1][0] :]
+        assert many[4][k] * (x1 - x0) >= (left[x0:x1] == right[x0:x1]).sum() - 1e-6
+
+
 def test_chains_follow_both_orders():
     x, y = np.array([0, 6, 12, 18, 24]), np.array([0, 6, 90, 18, 24])
     assert [c.tolist() for c in chains(x, y, least=6)] == [[0, 1, 3, 4]]
