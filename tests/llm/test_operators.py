@@ -136,6 +136,60 @@ def test_passages_of_frequent_words_link_all_their_texts(spark):
     assert _linked(spark, rows) == {frozenset(p) for p in ((1, 2), (1, 3), (2, 3))}
 
 
+def _among_frequent_seeds(k, kept, edited):
+    """Three texts with edits of a passage, and texts that hold each part of it, so that all its seeds are frequent."""
+    whole = [f"m{k}w{i}" for i in range(75)]
+    texts = [kept(whole), edited(whole, 7, f"x{k}"), edited(whole, 8, f"y{k}")]
+    rows = [(1000 * k + i, f"{_fresh(f'u{k}v{i}', 20 + 7 * i)} {' '.join(text)} {_fresh(f'z{k}v{i}', 20)}")
+            for i, text in enumerate(texts)]
+    parts = [" ".join(text[j : j + 12]) for text in texts for j in range(0, len(text), 8) for _ in range(18)]
+    return rows + [(1000 * k + 10 + i, f"{_fresh(f'b{k}c{i}', 12)} {part} {_fresh(f'd{k}c{i}', 12)}")
+                   for i, part in enumerate(parts)]
+
+
+def test_edited_passages_of_frequent_seeds_only(spark):
+    def changed(words, step, tag):
+        return [f"{tag}s{i}" if i % step == step - 1 else w for i, w in enumerate(words)]
+
+    def dropped(words, step, tag):
+        return [w for i, w in enumerate(words) if i % step != step - 1]
+
+    def added(words, step, tag):
+        return [v for i, w in enumerate(words) for v in ((w, f"{tag}i{i}") if i % step == step - 1 else (w,))]
+
+    rows = [row for k, edit in enumerate((changed, dropped, added)) for row in _among_frequent_seeds(k, list, edit)]
+    assert {frozenset((1000 * k, 1000 * k + i)) for k in range(3) for i in (1, 2)} <= _linked(spark, rows)
+
+
+def test_near_copies_are_all_linked_with_each_other(spark):
+    whole = [f"g{i}" for i in range(120)]
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(40):
+        text = list(whole)
+        for at in range(int(rng.integers(0, 20)), len(text), 24):
+            text[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(text)))
+    assert _linked(spark, rows) == {frozenset((i, j)) for i in range(40) for j in range(i)}
+
+
+def test_lines_at_many_places_are_passages_wherever_they_stand(spark):
+    line = _fresh("o", 9)
+    rows = [(i, f"{_fresh(f'h{i}', 30)} {' '.join([line] * n)} {_fresh(f'j{i}', 30)}") for i, n in ((1, 80), (2, 250))]
+    found = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    covered = {1: set(), 2: set()}
+    for r in found:
+        covered[r.doc_id] |= set(range(r.start, r.end))
+        covered[r.with_doc_id] |= set(range(r.with_start, r.with_end))
+    assert set(range(30, 30 + 9 * 80)) <= covered[1] and set(range(30, 30 + 9 * 250)) <= covered[2]
+
+
+def test_a_line_in_many_texts_does_not_link_them(spark):
+    line = _fresh("q", 14)
+    rows = [(i, f"{_fresh(f'k{i}', 40)} {line} {_fresh(f'n{i}', 40)}") for i in range(60)]
+    assert not _linked(spark, rows)
+
+
 def test_passages_of_texts_without_an_id_do_not_hide_others(spark):
     shared = _fresh("n", 70)
     for trial in range(4):
